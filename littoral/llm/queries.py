@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import quality, simhash
 from .common import read_table
 
 
@@ -16,8 +16,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {
+        "op1_simhash": op1_simhash,
+        "op3_quality": op3_quality,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
