@@ -36,7 +36,7 @@ WINDOW = 5
 FLOOR = (0.10, 0.05, 0.20, 0.15)
 D = len(FLOOR)
 #: Share of a group that the concentration steps keep, their number, and the final quantile.
-COVER, STEPS, REWEIGHT, REJECT = 0.5, 6, 0.975, 1 - 1e-6
+COVER, STEPS, REWEIGHT, REJECT = 0.5, 6, 0.975, 0.9999
 #: Distance bins: so many to a factor of e in the squared distance.
 BINS = 64
 
