@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import bpe, quality, simhash, tokenfiles
 from .common import read_table
 
 
@@ -16,14 +17,24 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(read_table(spark, sf_dir, "documents"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_token_files": op2_token_files,
         "op3_quality": op3_quality,
+        "op8_byte_bpe": op8_byte_bpe,
     }
 
 
