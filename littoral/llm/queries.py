@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, simhash, tokenfiles
+from . import bpe, counts, licenses, quality, simhash, tokenfiles
 from .common import read_table
 
 
@@ -25,16 +25,26 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(read_table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_token_files": op2_token_files,
         "op3_quality": op3_quality,
+        "op4_token_counts": op4_token_counts,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_licenses": op9_licenses,
     }
 
 
