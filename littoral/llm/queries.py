@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, counts, licenses, quality, simhash, tokenfiles
+from . import bpe, counts, decontaminate, licenses, quality, simhash, tokenfiles
 from .common import read_table
 
 
@@ -29,6 +29,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("row")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -43,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": op2_token_files,
         "op3_quality": op3_quality,
         "op4_token_counts": op4_token_counts,
+        "op5_decontaminate": op5_decontaminate,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_licenses": op9_licenses,
     }
