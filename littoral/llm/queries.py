@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, counts, decontaminate, licenses, quality, simhash, tokenfiles
+from . import bpe, chat, counts, decontaminate, licenses, quality, repeats, simhash, tokenfiles
 from .common import read_table
 
 
@@ -33,6 +33,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("row")
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(read_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(read_table(spark, sf_dir, "conversations")).drop("row")
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op4_token_counts": op4_token_counts,
         "op5_decontaminate": op5_decontaminate,
+        "op6_repeats": op6_repeats,
         "op7_chat": op7_chat,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_licenses": op9_licenses,
