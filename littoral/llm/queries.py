@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, counts, decontaminate, licenses, quality, repeats, simhash, tokenfiles
+from . import bpe, chat, counts, decontaminate, licenses, quality, repeats, simhash, suffixes, tokenfiles
 from .common import read_table
 
 
@@ -49,6 +49,10 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove(read_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -60,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_chat": op7_chat,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_licenses": op9_licenses,
+        "op10_suffixes": op10_suffixes,
     }
 
 
