@@ -194,17 +194,18 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return map_batches(encoded.select("doc_id", "ids"), make, "doc_id long, text string")
 
 
-def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encoded, then decoded from the ids, row by row."""
+def digests(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``): encoded, then decoded from the ids, row by row."""
 
     def make():
         def each(batch):
             rows = []
             for ids in _coder(path, pattern).encoded(as_texts(batch.column(1))):
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode(ids, path)).hexdigest()))
-            n, a, b = zip(*rows)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode(ids, path)).hexdigest(), ids if with_ids else None))
+            n, a, b, ids = zip(*rows)
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b), pa.array(ids, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns[: 4 + with_ids], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + with_ids])
 
         return each
 
-    return map_batches(documents(docs), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(documents(docs), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if with_ids else ""))

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, as the word pattern ``[^\x20\x09-\x0D]+`` excludes it.
@@ -59,6 +59,19 @@ def documents(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+#: Stands for a null ``doc_id`` in keys: larger than all others.
+NULL_ID = (1 << 63) - 1
+
+
+def text_key(text: str) -> Column:
+    """A hash of a text, null as empty: with ``doc_id`` it finds the rows of a document again in another scan.
+
+    Numbers given to rows by a scan would not do: a scan can be split in another
+    way after executors are lost.
+    """
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, map_batches, materialize
+from .common import NULL_ID, as_bytes, documents, map_batches, materialize, text_key
 from .grams import Bloom, Words, gram_hashes
 
 LEAST = 5
@@ -208,13 +208,13 @@ def _hits(docs: DataFrame, bloom: Bloom, sizes: list[int]) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, covered: float = COVERED) -> DataFrame:
-    """``row, doc_id, item_id, coverage, n_tiles`` of each pair that is covered enough; ``row`` tells repeated documents apart."""
+    """``row, doc_id, item_id, k, coverage, n_tiles`` of each pair that is covered enough; ``row`` tells repeated documents apart, ``k`` is a hash of the text."""
     spark = docs.sparkSession
     items = materialize(benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("text").cast("string").alias("text"), F.col("item_id").cast("long").alias("item_id")), "benchmark")
     seeds = materialize(_seeds(items.select("item", "text"), least), "benchmark-seeds")
     sizes = sorted(r.size for r in seeds.select("size").distinct().collect())
     if not sizes:
-        return spark.createDataFrame([], "row long, doc_id long, item_id long, coverage double, n_tiles int")
+        return spark.createDataFrame([], "row long, doc_id long, item_id long, k long, coverage double, n_tiles int")
     hits = materialize(_hits(docs, _bloom(seeds, seeds.count()), sizes), "benchmark-hits")
     pairs = hits.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy("row", "item").agg(F.count("*").alias("n"), F.first("n_words").alias("n_words"), F.first("size").alias("size"))
     # One seed can stand in several places of an item; n counts distinct ones, so the bound is on places.
@@ -230,16 +230,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
                 c, n = coverage(_near(words(data), item, least), item, least)
                 share.append(c)
                 count.append(n)
-            return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(share), pa.array(count, pa.int32())], names=["row", "doc_id", "item_id", "coverage", "n_tiles"])
+            return pa.RecordBatch.from_arrays([*batch.columns[:3], batch.column(5), pa.array(share), pa.array(count, pa.int32())], names=["row", "doc_id", "item_id", "k", "coverage", "n_tiles"])
 
         return each
 
-    tiled = map_batches(full.select("row", "doc_id", "item_id", "text", "item_text"), make, "row long, doc_id long, item_id long, coverage double, n_tiles int")
+    tiled = map_batches(full.select("row", "doc_id", "item_id", "text", "item_text", text_key("text").alias("k")), make, "row long, doc_id long, item_id long, k long, coverage double, n_tiles int")
     return tiled.filter(F.col("coverage") >= covered)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, covered: float = COVERED) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns."""
-    bad = contaminated(docs, benchmark, least, covered).select("row").distinct()
-    kept = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"))
-    return kept.join(materialize(bad, "benchmark-bad"), "row", "left_anti").select("own.*")
+    bad = contaminated(docs, benchmark, least, covered).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "k").distinct()
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own")
+    keyed = docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), text_key("text").alias("k"))
+    return keyed.join(materialize(bad, "benchmark-bad"), ["doc", "k"], "left_anti").select("own.*")

@@ -30,7 +30,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("row")
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("row", "k")
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,14 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, discard, documents, map_batches, materialize, release
+from .common import NULL_ID, as_bytes, discard, documents, map_batches, materialize, release, text_key
 from .grams import Words, gram_hashes
 
 WINDOW = 13
 PREFIX = 6
 #: Words of a bucket about, and occurrences from which a prefix is made longer.
 BUCKET, FREQUENT = 1_000_000, 2_000
-_NULL = (1 << 63) - 1
 
 
 def anchors(words: np.ndarray, window: int = WINDOW, prefix: int = PREFIX) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -60,7 +59,7 @@ def anchors(words: np.ndarray, window: int = WINDOW, prefix: int = PREFIX) -> tu
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """``doc, k, text``: rows of equal id and text are one key, and have the same result."""
-    return documents(docs).select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "text")
+    return documents(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), text_key("text").alias("k"), "text")
 
 
 def _prefixes(keyed: DataFrame, window: int, prefix: int) -> DataFrame:
@@ -140,7 +139,7 @@ def _subtrees(table: pa.Table, window: int) -> pa.Table:
     row = np.repeat(np.arange(len(counts)), counts)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     node = nodes(codes, begin[row] + offset, window)
-    least = np.full(int(node.max()) + 1, _NULL)
+    least = np.full(int(node.max()) + 1, NULL_ID)
     np.minimum.at(least, node, doc[row])
     marked = least[node] < doc[row]
     bits = np.zeros(len(counts), np.int64)
@@ -196,7 +195,7 @@ def remove(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, bucket:
     """Per row ``doc_id, n_words, n_removed, kept``: the kept words joined by one space."""
     found = marks(docs, window, prefix, bucket, frequent)
     release(docs.sparkSession)
-    met = _keyed(docs).join(found, ["doc", "k"], "left").select(F.when(F.col("doc") != _NULL, F.col("doc")).alias("doc_id"), "text", "marks")
+    met = _keyed(docs).join(found, ["doc", "k"], "left").select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "text", "marks")
 
     def make():
         def each(batch):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, discard, documents, map_batches, materialize
+from .common import NULL_ID, as_bytes, discard, documents, map_batches, materialize, text_key
 
 RADIUS = 3
 SHINGLE = 3
@@ -57,16 +57,16 @@ def fingerprint(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, fp``: one signed 64-bit fingerprint for each row."""
+    """``doc_id, k, fp``: one signed 64-bit fingerprint for each row; ``k`` is a hash of its text."""
 
     def make():
         def each(batch):
             fps = [fingerprint(x, shingle, seed) for x in as_bytes(batch.column(1))]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "k", "fp"])
 
         return each
 
-    return map_batches(documents(docs), make, "doc_id long, fp long")
+    return map_batches(documents(docs).withColumn("k", text_key("text")), make, "doc_id long, k long, fp long")
 
 
 def spanning(a: np.ndarray, b: np.ndarray | None, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
@@ -185,17 +185,36 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()) if seen[0] else spark.createDataFrame([], "node long, root long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile: int = TILE) -> DataFrame:
-    """``doc_id, fp, component_id``: one row for each input row; ``component_id`` is the smallest ``doc_id`` of its component."""
+def _labelled(docs: DataFrame, radius: int, shingle: int, seed: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, k, fp`` of each row, and ``fp, root, first`` of each fingerprint."""
     by_doc = materialize(fingerprints(docs, shingle, seed), "simhash-docs")
     fps = materialize(by_doc.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-fps")
     edges = materialize(links(fps.select("fp"), radius, tile), "simhash-links")
     roots = components(edges).withColumnRenamed("node", "fp")
-    least = roots.join(fps, "fp").groupBy("root").agg(F.min("first").alias("least"))
-    linked = roots.join(least, "root").select("fp", "least")
-    named = fps.join(linked, "fp", "left").select("fp", F.when(F.col("least").isNotNull(), F.col("least")).otherwise(F.col("first")).alias("component_id"))
+    return by_doc, fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"), "first")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile: int = TILE) -> DataFrame:
+    """``doc_id, fp, component_id``: one row for each input row; ``component_id`` is the smallest ``doc_id`` of its component."""
+    by_doc, fps = _labelled(docs, radius, shingle, seed, tile)
+    fps = materialize(fps, "simhash-roots")
+    least = fps.filter("linked").groupBy("root").agg(F.min("first").alias("least"))
+    named = fps.join(least, "root", "left").select("fp", F.when(F.col("linked"), F.col("least")).otherwise(F.col("first")).alias("component_id"))
     return by_doc.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def first_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile: int = TILE) -> DataFrame:
+    """``docs`` with its columns, one row of each component: the one of the smallest ``doc_id`` (null last)."""
+    by_doc, fps = _labelled(docs, radius, shingle, seed, tile)
+    own = F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "k")
+    best = by_doc.join(fps, "fp").groupBy("root").agg(F.min(own).alias("best")).select("best.doc", "best.k")
+    # Rows of equal id and text are one; only where there are several is a choice to make.
+    several = by_doc.groupBy(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "k").agg((F.count("*") > 1).alias("several"))
+    best = materialize(best.join(several, ["doc", "k"]), "simhash-best")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own")
+    met = docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), text_key("text").alias("k")).join(best, ["doc", "k"])
+    return met.filter("not several").unionByName(met.filter("several").dropDuplicates(["doc", "k"])).select("own.*")
+
+
 def hex64(fp: str) -> F.Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")

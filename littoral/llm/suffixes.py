@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, discard, documents, map_batches, materialize, release
+from .common import NULL_ID, as_bytes, discard, documents, map_batches, materialize, release, text_key
 from .grams import mix
 from .jvm import register
 
@@ -35,7 +35,6 @@ LENGTH = 400
 GRAM = 48
 #: Bytes of a shard about; places looked at in one go.
 SHARD, STEP = 4_000_000, 1 << 20
-_NULL = (1 << 63) - 1
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -100,7 +99,7 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM, step: int = STE
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return documents(docs).select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "text")
+    return documents(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), text_key("text").alias("k"), "text")
 
 
 def _anchors(keyed: DataFrame, length: int, gram: int) -> DataFrame:
@@ -190,7 +189,7 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int =
     """Per row ``doc_id, n_bytes, n_removed, n_spans, kept``: the remaining bytes."""
     found = marks(docs, length, gram, shard)
     release(docs.sparkSession)
-    met = _keyed(docs).join(found, ["doc", "k"], "left").select(F.when(F.col("doc") != _NULL, F.col("doc")).alias("doc_id"), "text", "marks")
+    met = _keyed(docs).join(found, ["doc", "k"], "left").select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "text", "marks")
 
     def make():
         def each(batch):
@@ -217,7 +216,7 @@ def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int =
     release(docs.sparkSession)
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("own")
     text = F.col("text").cast("string")
-    keyed = docs.select(own, text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k"))
+    keyed = docs.select(own, text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), text_key("text").alias("k"))
     met = keyed.join(found, ["doc", "k"], "left")
 
     @F.arrow_udf("string")
