@@ -12,6 +12,8 @@ import re
 from collections.abc import Callable, Iterable
 from itertools import islice
 
+#: Marks that are neither letters nor numbers nor part of a contraction.
+_MARKS = frozenset(".,;:!?")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space beside the four common kinds.
 _RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -49,22 +51,37 @@ class Chunks:
     """The bytes of a text's tokens, by way of its chunks and their pre-tokens.
 
     ``split(chunk)`` gives the pre-tokens of a chunk as it stands in the text
-    (with the space before it); ``make`` encodes pre-tokens, in bulk.
+    (with the space before it); ``make`` encodes pre-tokens, in bulk. A chunk
+    with one of the ``special`` strings is given to ``make`` as it is.
     """
 
-    def __init__(self, split: Callable[[str], list[str]], make: Callable[[list[str]], Iterable[bytes]], tokens: int = 500_000, chunks: int = 150_000):
-        self.split = split
+    def __init__(self, split: Callable[[str], list[str]], make: Callable[[list[str]], Iterable[bytes]], special: Iterable[str] = (), tokens: int = 500_000, chunks: int = 400_000):
+        self.split, self.make, self.special = split, make, tuple(special)
         self.tokens = Memo(make, tokens)
         self.after = Memo(lambda chunks: self._of(chunks, " "), chunks)
         self.first = Memo(lambda chunks: self._of(chunks, ""), 20_000)
 
     def _of(self, chunks: list[str], lead: str) -> list[bytes]:
-        split = self.split
-        parts = [split(lead + c) for c in chunks]
-        known = self.tokens.want({t for p in parts for t in p})
-        get = known.__getitem__
+        split, parts = self.split, []
+        for c in chunks:
+            # Letters, or letters and a mark behind them, need no search. (Older scripts only: of
+            # these all versions of Unicode agree what is a letter.)
+            if c.isalpha() and (c.isascii() or max(c) < "\u0250"):
+                parts.append((lead + c,))
+            elif c[-1:] in _MARKS and c[:-1].isalpha() and (c.isascii() or max(c) < "\u0250"):
+                parts.append((lead + c[:-1], c[-1]))
+            else:
+                parts.append(split(lead + c))
+        get = self.tokens.want({t for p in parts for t in p}).__getitem__
         return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
 
+    def _with_special(self, text: str) -> bytes:
+        out, lead = [], ""
+        for c in cut(text):
+            out += self.make([lead + c]) if any(s in c for s in self.special) else self._of([c], lead)
+            lead = " "
+        return b"".join(out)
+
     def encoded(self, texts: list[str], size: int = 3_000_000) -> Iterable[bytes]:
         lo = 0
         while lo < len(texts):  # a few MB at a time, so that what is wanted at once stays small
@@ -72,12 +89,13 @@ class Chunks:
             while hi < len(texts) and (hi == lo or total + len(texts[hi]) < size):
                 total += len(texts[hi])
                 hi += 1
-            parts = [cut(t) for t in texts[lo:hi]]
-            first = self.first.want({p[0] for p in parts})
+            parts = [None if any(s in t for s in self.special) else cut(t) for t in texts[lo:hi]]
+            first = self.first.want({p[0] for p in parts if p})
             wanted: set[str] = set()
             for p in parts:
-                wanted.update(p[1:])
+                if p:
+                    wanted.update(p[1:])
             get = self.after.want(wanted).__getitem__
-            for p in parts:
-                yield first[p[0]] + b"".join(map(get, p[1:]))
+            for t, p in zip(texts[lo:hi], parts):
+                yield first[p[0]] + b"".join(map(get, p[1:])) if p else self._with_special(t)
             lo = hi
