@@ -68,5 +68,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: Windows of 13 words, the smallest document of each, and what it leaves of the others.
+_REPEATS_SQL = r"""with docs as materialized (select row_number() over () r, doc_id, coalesce(doc_id, 9223372036854775807) d, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+ windows as materialized (select r, d, i, array_to_string(w[i:i+12], ' ') g from (select r, d, w, unnest(range(1, len(w) - 11)) i from docs where len(w) >= 13)),
+ least as (select g, min(d) m from windows group by g having count(*) > 1),
+ gone as materialized (select distinct r, i + k j from (select r, i, unnest(range(0, 13)) k from windows join least using (g) where m < d)),
+ words as (select r, j, w[j] x from (select r, w, unnest(range(1, len(w) + 1)) j from docs)),
+ kept as (select r, string_agg(x, ' ' order by j) t, count(*) n from words anti join gone using (r, j) group by r)
+ select doc_id, cast(len(w) as bigint) n_words, cast(len(w) - coalesce(n, 0) as bigint) n_removed, sha256(coalesce(t, '')) kept_sha256 from docs left join kept using (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_repeats": _REPEATS_SQL}
