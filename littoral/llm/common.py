@@ -1,57 +1,16 @@
-"""What the text operators share: scratch tables, row batches and byte helpers."""
+"""What the text operators share: row batches, byte helpers, and the tables of ``scratch``."""
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: ASCII white space, as the word pattern ``[^\x20\x09-\x0D]+`` excludes it.
-SPACE = b" \t\n\x0b\x0c\r"
+from ..scratch import discard, materialize, path, release
 
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or an own one where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="littoral-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/littoral/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here, and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table that ``materialize`` wrote and that nothing reads any more."""
-    path = getattr(df, "_scratch", None)
-    if path:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of finished steps now rather than at its next garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+__all__ = ["NULL_ID", "as_bytes", "as_texts", "discard", "documents", "map_batches", "materialize", "path", "read_table", "release", "text_key"]
 
 
 def documents(df: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chunks import Chunks
-from .common import as_texts, documents, materialize, scratch_path
+from .common import as_texts, documents, materialize, path as scratch_path
 
 MAGIC = b"LTPLANE1"
 BLOCK = 1 << 16
