@@ -53,9 +53,8 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << max(12, n.bit_length())
     if size not in _powers:
         _powers.clear()
-        with np.errstate(over="ignore"):
-            up = np.cumprod(np.concatenate([[1], np.full(size - 1, _ODD, np.uint64)]).astype(np.uint64))
-            down = np.cumprod(np.concatenate([[1], np.full(size - 1, _INVERSE, np.uint64)]).astype(np.uint64))
+        one = np.ones(1, np.uint64)
+        up, down = (np.cumprod(np.concatenate([one, np.full(size - 1, x, np.uint64)])) for x in (_ODD, _INVERSE))
         _powers[size] = up, down
     return _powers[size]
 

@@ -63,3 +63,8 @@ def test_anchors_cover_every_start():
     h, first, last = suffixes.anchors(data, step=900)
     starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
     assert starts.tolist() == list(range(len(data) - 399))
+
+
+def test_anchors_are_few():
+    data = random.Random(4).randbytes(100_000)
+    assert 400 < len(suffixes.anchors(data)[0]) < 900
