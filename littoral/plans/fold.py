@@ -1,17 +1,23 @@
-"""Regions merged into the hosts one after the other.
+"""Regions merged into the hosts, each after the ones before it.
 
 Candidates are found once, from the hosts' original envelopes; the exact
 predicates of each region see the hosts as the regions before left them. What a
-region adds beside a host is no host for later ones. Only hosts that changed are
-carried from region to region, written to the shared folder; the base table is
-joined, never copied.
+region adds beside a host is no host for later ones.
+
+Only regions that meet at a host have to wait for each other. Each polygon gets a
+level: one more than the last level at which any of its candidate hosts takes
+something from an earlier region; a host takes what a region gives it once all of
+that region's candidates for it are decided. Levels are worked off one after the
+other, whatever regions they hold, so the number of rounds is the longest chain
+of regions around one place, not the number of regions. Only hosts that changed
+are carried along, written to the shared folder.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import scratch
@@ -35,32 +41,69 @@ class Folded:
         return hosts.unionByName(more)
 
 
+def levels(pairs: DataFrame) -> DataFrame:
+    """``aid, level`` of each polygon with candidates (``aid, rid, wid``)."""
+    now = scratch.materialize(pairs.select("aid").distinct().withColumn("level", F.lit(1)), "levels")
+    earlier = Window.partitionBy("wid").orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as regions
+    while True:
+        events = pairs.join(now, "aid").groupBy("wid", "rid").agg(F.max("level").alias("level"))
+        after = events.select("wid", "rid", F.coalesce(F.max("level").over(earlier), F.lit(0)).alias("last"))
+        fresh = pairs.join(after, ["wid", "rid"]).groupBy("aid").agg((F.max("last") + 1).alias("fresh"))
+        following = scratch.materialize(now.join(fresh, "aid").select("aid", F.col("level").alias("old"), F.col("fresh").alias("level")), "levels")
+        moved = following.filter("old != level").limit(1).count()
+        scratch.discard(now)
+        now = following.select("aid", "level")
+        if not moved:
+            return now
+        now._scratch = following._scratch
+
+
 def fold(water: DataFrame, area: DataFrame, km: float | None = None, mode: str = "contract", cell: float | None = None) -> Folded:
-    """``water``: wid, geom, x0..y1; ``area``: aid, rid, geom, x0..y1. Regions follow in the order of ``rid``."""
+    """``water``: wid, geom, x0..y1; ``area``: aid, rid, geom, x0..y1. Regions follow in the order of ``rid`` (a number)."""
     spark = water.sparkSession
     km = overlap.check_km(km)
-    pairs = scratch.materialize(overlap.candidates(water, area, cell), "candidates")
-    regions = [(r.rid, r.n) for r in area.groupBy("rid").agg(F.count("*").alias("n")).orderBy("rid").collect()]
+    found = scratch.materialize(overlap.candidates(water, area, cell), "candidates")
+    pairs = scratch.materialize(found.join(levels(found.select("aid", "rid", "wid")), "aid"), "pairs")
+    events = scratch.materialize(pairs.groupBy("wid", "rid").agg(F.max("level").alias("level")), "events")
+    last = pairs.agg(F.max("level")).first()[0] or 0
     changed = spark.createDataFrame([], "wid bigint, geom binary")
-    extras = patches = None
-    metrics = []
-    for rid, n in regions:
-        own = pairs.filter(F.col("rid").eqNullSafe(F.lit(rid)))
-        hosts = water.join(own.select("wid").distinct(), "wid", "left_semi").select("wid", "geom")
+    given, merged, united = [], [], []
+    for level in range(1, last + 1):
+        own = pairs.filter(F.col("level") == level).drop("level")
+        hosts = water.join(pairs.filter(F.col("level") <= level).select("wid").distinct(), "wid", "left_semi").select("wid", "geom")
         now = hosts.join(changed.select("wid", F.col("geom").alias("new")), "wid", "left").select("wid", F.coalesce("new", "geom").alias("geom"))
         taken = scratch.materialize(overlap.takes(own, now, area), "taken")
         best = taken.join(overlap.first_match(taken), ["aid", "wid"])
-        united = scratch.materialize(merge.unions(overlap.groups(overlap.pieces(best, km))), "united")
-        done = scratch.materialize(merge.merged(united, now, mode), "merged")
-        added, logged = merge.extras(done).select(F.lit(rid).alias("ord"), "*"), merge.patches(united).select(F.lit(rid).alias("ord"), "*")
-        extras = added if extras is None else extras.unionByName(added)
-        patches = logged if patches is None else patches.unionByName(logged)
+        rid = best.select("aid", "rid")
+        given.append(scratch.materialize(overlap.pieces(best, km).join(rid, "aid").select("aid", "rid", "wid", "piece"), "given"))
+        scratch.discard(taken)
+        due = _union(given).join(events.filter(F.col("level") == level).select("wid", "rid"), ["wid", "rid"])
+        # At one level a host takes from one region alone.
+        of_host = due.groupBy("wid").agg(F.first("rid").alias("rid"))
+        unions = scratch.materialize(merge.unions(overlap.groups(due)).join(of_host, "wid"), "united")
+        done = scratch.materialize(merge.merged(unions, now, mode).join(of_host.select("wid", "rid"), "wid"), "merged")
+        united.append(unions)
+        merged.append(done)
         before, changed = changed, scratch.materialize(changed.join(done, "wid", "left_anti").unionByName(done.select("wid", "geom")), "changed")
         scratch.discard(before)
-        scratch.discard(taken)
-        row = done.agg(F.count("*").alias("hosts"), F.coalesce(F.sum(F.size("extras")), F.lit(0)).alias("extras")).first()
-        metrics.append((rid, n, row.hosts, row.extras, merge.patches(united).count()))
-    if extras is None:
-        extras = patches = spark.createDataFrame([], "ord bigint, wid bigint, piece int, geom binary")
-    table = spark.createDataFrame(metrics, "ord bigint, polygons bigint, matched_hosts bigint, extras bigint, patches bigint")
-    return Folded(merge.replaced(water.select("wid", "geom", *ENVELOPE), changed).select("wid", "geom"), extras, patches, table)
+    counted = area.groupBy(F.col("rid").cast("bigint").alias("ord")).agg(F.count("*").alias("polygons"))
+    if not merged:
+        none = spark.createDataFrame([], "ord bigint, wid bigint, piece int, geom binary")
+        zero = F.lit(0).cast("bigint")
+        return Folded(water.select("wid", "geom"), none, none, counted.select("ord", "polygons", zero.alias("matched_hosts"), zero.alias("extras"), zero.alias("patches")))
+    merged_all, united_all = _union(merged), _union(united)
+    order = F.col("rid").cast("bigint").alias("ord")
+    extras = merged_all.select(order, "wid", F.posexplode("extras").alias("piece", "geom"))
+    patches = united_all.select(order, "wid", F.posexplode("united").alias("piece", "geom"))
+    sums = merged_all.groupBy(order).agg(F.count("*").alias("matched_hosts"), F.sum(F.size("extras")).alias("extras"))
+    logged = united_all.groupBy(order).agg(F.sum(F.size("united")).alias("patches"))
+    zeros = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("matched_hosts", "extras", "patches")]
+    metrics = counted.join(sums, "ord", "left").join(logged, "ord", "left").select("ord", "polygons", *zeros)
+    return Folded(merge.replaced(water.select("wid", "geom", *ENVELOPE), changed).select("wid", "geom"), extras, patches, metrics)
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out

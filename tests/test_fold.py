@@ -36,6 +36,38 @@ def test_one_region_is_a_batch_and_extras_follow(spark):
     assert sorted(r.fid for r in done.output().collect()) == [0, 1]
 
 
+def region_by_region(water, area):
+    """The fold as it is defined, one region at a time, on rectangles and by way of the same kernel."""
+    from littoral.operators import merge, overlap
+    from littoral.scratch import materialize
+
+    pairs = materialize(overlap.candidates(water, area, 50), "t")
+    now, rows = water.select("wid", "geom"), {}
+    for rid in sorted(r.rid for r in area.select("rid").distinct().collect()):
+        taken = materialize(overlap.takes(pairs.filter(F.col("rid") == rid), now, area), "t")
+        best = taken.join(overlap.first_match(taken), ["aid", "wid"])
+        united = materialize(merge.unions(overlap.groups(overlap.pieces(best))), "t")
+        done = materialize(merge.merged(united, now), "t")
+        rows[rid] = (done.count(), done.agg(F.coalesce(F.sum(F.size("extras")), F.lit(0))).first()[0], merge.patches(united).count())
+        now = materialize(merge.replaced(now, done), "t")
+    areas = {r.wid: round(r.a, 6) for r in now.select("wid", st("st_area", "geom").alias("a")).collect()}
+    return rows, areas
+
+
+def test_levels_are_the_fold_region_by_region(spark):
+    import random
+
+    register(spark)
+    rng = random.Random(4)
+    box = lambda size: (lambda x, y: (x, y, x + rng.randrange(5, size), y + rng.randrange(5, size)))(rng.randrange(120), rng.randrange(120))
+    water = boxes(spark, [(k, *box(30)) for k in range(14)], ["wid"])
+    area = boxes(spark, [(100 + k, k % 4, *box(25)) for k in range(28)], ["aid", "rid"])
+    rows, areas = region_by_region(water, area)
+    done = fold(water, area, cell=50)
+    assert {r.ord: (r.matched_hosts, r.extras, r.patches) for r in done.metrics.collect()} == rows
+    assert {r.wid: round(r.a, 6) for r in done.water.select("wid", st("st_area", "geom").alias("a")).collect()} == areas
+
+
 def test_empty(spark):
     register(spark)
     water = boxes(spark, [(1, 0, 0, 10, 10)], ["wid"])
