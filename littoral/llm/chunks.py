@@ -13,12 +13,19 @@ from collections.abc import Callable, Iterable
 from itertools import islice
 
 #: Marks that are neither letters nor numbers nor part of a contraction.
-_MARKS = frozenset(".,;:!?")
+MARKS = frozenset(".,;:!?")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space beside the four common kinds.
 _RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+def byte_letters() -> dict[int, str]:
+    """The characters by which byte-level vocabularies write bytes: printable ones themselves, the others from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 def cut(text: str) -> list[str]:
     """Chunks; the space before each but the first belongs to it but is left out of the string."""
     if "  " in text or " \n" in text or "\n " in text or " \t" in text or "\t " in text or " \r" in text or "\r " in text or text[:1] == " " or text[-1:] == " " or _RARE.search(text):
@@ -68,7 +75,7 @@ class Chunks:
             # these all versions of Unicode agree what is a letter.)
             if c.isalpha() and (c.isascii() or max(c) < "\u0250"):
                 parts.append((lead + c,))
-            elif c[-1:] in _MARKS and c[:-1].isalpha() and (c.isascii() or max(c) < "\u0250"):
+            elif c[-1:] in MARKS and c[:-1].isalpha() and (c.isascii() or max(c) < "\u0250"):
                 parts.append((lead + c[:-1], c[-1]))
             else:
                 parts.append(split(lead + c))

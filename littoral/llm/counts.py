@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Memo
+from .chunks import MARKS, Memo, byte_letters
 from .common import as_texts, documents, materialize
 
 #: Pre-tokens that are broadcast at most, and the characters that one of them may have.
@@ -47,9 +47,27 @@ class Cutter:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo = Memo(lambda chunks: [self.cut(c) for c in chunks], 200_000)
+        self.letters = {b: c for b, c in byte_letters().items()}
+        # Words in old Latin letters, with or without a mark, are cut without the library if it cuts such words so.
+        self.plain = True
+        self.plain = all(self._plain(w) == self._by_library(w) for w in ("Ab", "éÀß", "zž.", "Q!", "ŒUVRE,", "x;", "y:", "ä?"))
+        self.memo = Memo(lambda chunks: [self.cut(c) for c in chunks], 300_000)
+
+    def _plain(self, chunk: str) -> tuple[str, ...] | None:
+        word = chunk[:-1] if chunk[-1:] in MARKS else chunk
+        if not self.plain or not word.isalpha():
+            return None
+        low = word.lower()
+        if not word.isascii():
+            if max(word) >= "\u0250" or "\u0130" in word:
+                return None
+            low = low.encode().decode("latin-1").translate(self.letters)
+        return (low,) if word is chunk or len(word) == len(chunk) else (low, chunk[-1])
 
     def cut(self, chunk: str) -> tuple[str, ...]:
+        return self._plain(chunk) or self._by_library(chunk)
+
+    def _by_library(self, chunk: str) -> tuple[str, ...]:
         if any(s in chunk for s in self.special):
             return (_WHOLE + chunk,)
         if self.tokenizer.normalizer is not None:

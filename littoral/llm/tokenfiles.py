@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import Chunks
+from .chunks import Chunks, byte_letters
 from .common import as_texts, documents, materialize, path as scratch_path
 
 MAGIC = b"LTPLANE1"
@@ -154,13 +154,6 @@ class ShardReader:
             rest, at = joined[n:], at + n
 
 
-def _byte_letters() -> dict[int, str]:
-    """The characters by which byte-level vocabularies write bytes: printable ones themselves, the others from 256 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-
-
 @lru_cache(maxsize=4)
 def _coder(path: str, pattern: str) -> Chunks:
     """Pre-tokens, each encoded by the tokenizers library; lives as long as the Python worker."""
@@ -169,7 +162,7 @@ def _coder(path: str, pattern: str) -> Chunks:
 
     tokenizer = Tokenizer.from_file(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    decoder = {c: b for b, c in _byte_letters().items()}
+    decoder = {c: b for b, c in byte_letters().items()}
     vocabulary = tokenizer.get_vocab(with_added_tokens=False)
     if any(c not in decoder for t in vocabulary for c in t):
         raise ValueError("not a byte-level vocabulary")

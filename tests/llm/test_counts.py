@@ -23,6 +23,14 @@ def test_pieces_of_pre_tokens_add_up(text):
     assert sum(cutter.pieces(p) for c in text.split(" ") for p in cutter.cut(c)) == n_tokens(text)
 
 
+def test_plain_words_are_cut_as_the_library_does():
+    cutter = counts._cutter(PATH)
+    assert cutter.plain
+    words = [chr(c) + "a" for c in range(0x250) if chr(c).isalpha()] + ["Straße.", "ÉTÉ,", "naïve!", "a.", "İx", "ǅa", "ŉo;", "ǰ?"]
+    for w in words:
+        assert cutter.cut(w) == cutter._by_library(w)
+
+
 @pytest.mark.parametrize("head", [0, 3, 100_000])
 def test_rows(spark, head):
     rows = [(1, "A b  c"), (1, "A b  c"), (None, None), (2, ""), (3, prose(4, 3000)), (4, "<|endoftext|> x <|startoftext|>y"), (5, "x" * 5000), (6, "Éä İ 12 34")]
