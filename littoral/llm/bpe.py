@@ -69,7 +69,7 @@ class Ranks:
         key = a << 32 | b
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 500_000:
+            if len(self._pairs) > 200_000:
                 self._pairs.clear()
             get = self.ranks.get
             # The leftmost of equal ranks merges first: a merge inside a wins, one inside b loses.
@@ -158,7 +158,7 @@ def load(path: str) -> Ranks:
 def _coder(path: str, pattern: str) -> Chunks:
     """Lives as long as the Python worker, so that later tasks find its caches filled."""
     ranks = load(path)
-    return Chunks(regex.compile(pattern).findall, lambda pieces: [np.array(ranks.encode_piece(p.encode()), np.uint32).tobytes() for p in pieces])
+    return Chunks(regex.compile(pattern).findall, lambda pieces: [np.array(ranks.encode_piece(p.encode()), np.uint32).tobytes() for p in pieces], tokens=250_000, chunks=200_000)
 
 
 def encode(texts: list[str], path: str, pattern: str) -> list[bytes]:
