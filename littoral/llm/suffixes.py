@@ -149,7 +149,8 @@ def marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int =
     repeats = register(spark, "littoral_suffix_shard", "littoral.SuffixShard", "array<binary>")
     keyed = _keyed(docs)
     found = materialize(_anchors(keyed, length, gram), "suffix-anchors")
-    twice = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # Written, so that both sides of the join come from plain exchanges and Spark can split a frequent anchor.
+    twice = materialize(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "suffix-twice")
     hits = materialize(found.join(twice, "anchor").groupBy("doc", "k").agg(F.collect_list(F.struct("anchor", "first", "more")).alias("found")), "suffix-hits")
     discard(found)
     release(spark)
