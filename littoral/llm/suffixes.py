@@ -12,7 +12,8 @@ order; neighbours that share ``LENGTH`` bytes are repeats. No string is in two
 stretches, so none meets itself.
 
 Equal stretches of an anchor are one in its shard: their strings all repeat, and
-groups of copies, however large, come to a few stretches.
+groups of copies, however large, come to a few stretches. An anchor whose
+stretches still overfill a shard is split by longer runs around it.
 
 Defined results: null and empty texts have no bytes; texts shorter than
 ``LENGTH`` lose nothing; repeated rows are documents like any other and repeat
@@ -80,8 +81,8 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each anchor, and the first and last start of the strings that it is chosen for."""
+def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and place of each anchor, and the first and last start of the strings that it is chosen for."""
     raw = np.frombuffer(data, np.uint8)
     out = []
     for lo in range(0, len(raw) - length + 1, step):
@@ -91,9 +92,9 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM, step: int = STE
         at = (sliding_min(key, length - gram + 1) & np.uint64(0x1FFFFF)).astype(np.int64)
         first = np.concatenate([[0], np.nonzero(np.diff(at))[0] + 1])
         last = np.concatenate([first[1:] - 1, [len(at) - 1]])
-        out.append((grams[at[first]], first + lo, last + lo))
+        out.append((grams[at[first]], at[first] + lo, first + lo, last + lo))
     if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -109,14 +110,13 @@ def _anchors(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                 found.append(anchors(data, length, gram))
                 counts.append(len(found[-1][0]))
             at = pa.array(np.repeat(np.arange(len(counts)), counts))
-            h, first, last = (np.concatenate(x) for x in zip(*found))
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64)), pa.array(first.astype(np.int32)), pa.array((last - first).astype(np.int32))], names=["doc", "k", "anchor", "first", "more"]
-            )
+            h, place, first, last = (np.concatenate(x) for x in zip(*found))
+            numbers = [first, last - first, place - first]
+            return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in numbers)], names=["doc", "k", "anchor", "first", "more", "at"])
 
         return each
 
-    return map_batches(keyed, make, "doc long, k long, anchor long, first int, more int")
+    return map_batches(keyed, make, "doc long, k long, anchor long, first int, more int, at int")
 
 
 def _stretches(hits: DataFrame, length: int) -> DataFrame:
@@ -134,13 +134,13 @@ def _stretches(hits: DataFrame, length: int) -> DataFrame:
             digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<i8").reshape(-1, 2)
             rep = pa.array(np.repeat(np.arange(len(counts)), counts))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rep), batch.column(1).take(rep), flat.field("anchor"), flat.field("first"), pa.array(np.ascontiguousarray(digest[:, 0])), pa.array(np.ascontiguousarray(digest[:, 1])), pa.array(parts, pa.binary())],
-                names=["doc", "k", "anchor", "first", "h1", "h2", "bytes"],
+                [batch.column(0).take(rep), batch.column(1).take(rep), flat.field("anchor"), flat.field("first"), flat.field("at"), pa.array(np.ascontiguousarray(digest[:, 0])), pa.array(np.ascontiguousarray(digest[:, 1])), pa.array(parts, pa.binary())],
+                names=["doc", "k", "anchor", "first", "at", "h1", "h2", "bytes"],
             )
 
         return each
 
-    return map_batches(hits, make, "doc long, k long, anchor long, first int, h1 long, h2 long, bytes binary")
+    return map_batches(hits, make, "doc long, k long, anchor long, first int, at int, h1 long, h2 long, bytes binary")
 
 
 def marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
@@ -151,23 +151,87 @@ def marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int =
     found = materialize(_anchors(keyed, length, gram), "suffix-anchors")
     # Written, so that both sides of the join come from plain exchanges and Spark can split a frequent anchor.
     twice = materialize(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "suffix-twice")
-    hits = materialize(found.join(twice, "anchor").groupBy("doc", "k").agg(F.collect_list(F.struct("anchor", "first", "more")).alias("found")), "suffix-hits")
+    hits = materialize(found.join(twice, "anchor").groupBy("doc", "k").agg(F.collect_list(F.struct("anchor", "first", "more", "at")).alias("found")), "suffix-hits")
     discard(found)
     release(spark)
     parts = materialize(_stretches(keyed.join(hits, ["doc", "k"]).select("doc", "k", "text", "found"), length), "suffix-stretches")
     discard(hits)
     release(spark)
     # Equal stretches are one; what several have repeats all along.
-    distinct = parts.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n"), F.min("bytes").alias("bytes"))
-    distinct = materialize(distinct, "suffix-distinct")
-    size = distinct.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    distinct = materialize(parts.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n"), F.min("at").alias("at"), F.min("bytes").alias("bytes")), "suffix-distinct")
+    members, groups = _split(distinct, length, gram, shard)
+    size = groups.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = size // shard + 1
-    grouped = distinct.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).agg(F.collect_list(F.struct("anchor", "h1", "h2", "n", "bytes")).alias("s"))
-    marked = grouped.select("s.anchor", "s.h1", "s.h2", "s.n", F.expr(f"transform(s.bytes, x -> octet_length(x) - {length} + 1)").alias("starts"), F.expr(f"{repeats}(s.bytes, {length})").alias("runs"))
-    runs = materialize(marked.select(F.explode(F.arrays_zip("anchor", "h1", "h2", "n", "starts", "runs")).alias("m")).select("m.*").filter("n > 1 or runs is not null"), "suffix-runs")
+    grouped = groups.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).agg(F.collect_list(F.struct("key", "k1", "k2", "n", "bytes")).alias("s"))
+    marked = grouped.select("s.key", "s.k1", "s.k2", "s.n", F.expr(f"transform(s.bytes, x -> octet_length(x) - {length} + 1)").alias("starts"), F.expr(f"{repeats}(s.bytes, {length})").alias("runs"))
+    runs = materialize(marked.select(F.explode(F.arrays_zip("key", "k1", "k2", "n", "starts", "runs")).alias("m")).select("m.*").filter("n > 1 or runs is not null"), "suffix-runs")
     release(spark)
-    met = parts.select("doc", "k", "anchor", "first", "h1", "h2").join(runs, ["anchor", "h1", "h2"])
-    return materialize(met.groupBy("doc", "k").agg(F.collect_list(F.struct("first", F.when(F.col("n") > 1, F.col("starts")).alias("all"), "runs")).alias("marks")), "suffix-marks")
+    of_stretch = materialize(members.join(runs, ["key", "k1", "k2"]).select("anchor", "h1", "h2", "off", F.when(F.col("n") > 1, F.col("starts")).alias("all"), "runs"), "suffix-found")
+    met = parts.select("doc", "k", "anchor", "first", "h1", "h2").join(of_stretch, ["anchor", "h1", "h2"])
+    return materialize(met.groupBy("doc", "k").agg(F.collect_list(F.struct((F.col("first") + F.col("off")).alias("first"), "all", "runs")).alias("marks")), "suffix-marks")
+
+
+def _halved(rows: DataFrame, length: int, gram: int) -> tuple[DataFrame, int]:
+    """Each stretch as two, by the side to which the bytes that all its strings share are made longer.
+
+    The longer run is half way to a whole string, so that each string has it on
+    one side; which one follows from where the old run stands in the string,
+    and so is the same for equal strings.
+    """
+    longer = (length + gram + 1) // 2
+
+    def make():
+        def each(batch):
+            cols = {k: batch.column(i).to_pylist() for i, k in enumerate(batch.schema.names)}
+            out = []
+            for anchor, h1, h2, n, off, at, data in zip(*(cols[k] for k in ("anchor", "h1", "h2", "n", "off", "at", "bytes"))):
+                starts, left = len(data) - length + 1, at - (longer - gram)
+                for lo, hi, place in ((0, min(starts, left + 1), left), (max(0, left + 1), starts, at)):
+                    if lo < hi:
+                        part = data[lo : hi - 1 + length]
+                        key = xxhash.xxh3_64_intdigest(data[place : place + longer], longer) - (1 << 63)
+                        d1, d2 = np.frombuffer(xxhash.xxh3_128_digest(part), "<i8").tolist()
+                        out.append((anchor, h1, h2, n, off + lo, place - lo, key, d1, d2, part))
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()] * 3 + [pa.binary()]
+            names = ["anchor", "h1", "h2", "n", "off", "at", "key", "k1", "k2", "bytes"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+
+        return each
+
+    chosen = rows.select("anchor", "h1", "h2", "n", "off", "at", "bytes")
+    return map_batches(chosen, make, "anchor long, h1 long, h2 long, n long, off int, at int, key long, k1 long, k2 long, bytes binary"), longer
+
+
+def _split(distinct: DataFrame, length: int, gram: int, shard: int) -> tuple[DataFrame, DataFrame]:
+    """Groups that fit a shard: ``anchor, h1, h2, off, key, k1, k2`` (what is where) and ``key, k1, k2, n, bytes`` (what it is).
+
+    An anchor whose stretches would overfill a shard has them halved and dealt
+    out anew by the longer runs, as often as it takes; runs of one place alone
+    go. In the end a run is a whole string, and all of it one stretch.
+    """
+    weight = F.sum(F.octet_length("bytes").cast("long"))
+    large = materialize(distinct.groupBy("anchor").agg(weight.alias("b")).filter(F.col("b") > shard).select("anchor"), "suffix-large")
+    fit = distinct.join(large, "anchor", "left_anti")
+    members = [fit.select("anchor", "h1", "h2", F.lit(0).alias("off"), F.col("anchor").alias("key"), F.col("h1").alias("k1"), F.col("h2").alias("k2"))]
+    groups = [fit.select(F.col("anchor").alias("key"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), "n", "bytes")]
+    rest = distinct.join(large, "anchor").withColumn("off", F.lit(0))
+    while gram < length and not large.isEmpty():
+        sub, gram = _halved(rest, length, gram)
+        sub = materialize(sub, "suffix-halved")
+        one = materialize(sub.groupBy("key", "k1", "k2").agg(F.sum("n").alias("n"), F.min("bytes").alias("bytes")), "suffix-distinct")
+        sizes = materialize(one.groupBy("key").agg(F.sum("n").alias("total"), weight.alias("b")).filter("total > 1").select("key", ((F.col("b") > shard) & F.lit(gram < length)).alias("again")), "suffix-sizes")
+        small, large = sizes.filter("not again").select("key"), sizes.filter("again").select("key")
+        members.append(sub.join(small, "key").select("anchor", "h1", "h2", "off", "key", "k1", "k2"))
+        groups.append(one.join(small, "key").select("key", "k1", "k2", "n", "bytes"))
+        rest = sub.join(large, "key")
+
+    def union(tables):
+        out = tables[0]
+        for t in tables[1:]:
+            out = out.unionByName(t)
+        return out
+
+    return union(members), union(groups)
 
 
 def removed(n: int, found, length: int = LENGTH) -> tuple[np.ndarray, int]:
