@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,11 @@ def discard(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of finished steps now rather than at its next garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files of finished steps now rather than at its next garbage collection.
+
+    Its cleaner works beside the collector, so the first round finds what the second one frees.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
