@@ -35,8 +35,9 @@ from .grams import Words, gram_hashes
 
 WINDOW = 13
 PREFIX = 6
-#: Words of a bucket about, and occurrences from which a prefix is made longer.
-BUCKET, FREQUENT = 1_000_000, 2_000
+#: Words of a bucket about. A prefix is made longer if its own occurrences would fill one: each has about two windows of words.
+BUCKET = 1_000_000
+FREQUENT = BUCKET // (2 * WINDOW)
 
 
 def anchors(words: np.ndarray, window: int = WINDOW, prefix: int = PREFIX) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
