@@ -23,9 +23,10 @@ Status of an event: ``ok``; ``malformed`` (a block that is not such JSON: kept a
 text); ``duplicate`` (the identifier was used before in the conversation: the
 first by turn, row and place counts); ``unanswered`` (a call without result);
 ``orphan`` (a result without call); ``unknown tool`` (schemas are declared, not this one); ``invalid``
-(arguments break the schema); ``cycle`` (it depends on itself). The first that
+(arguments break the schema); ``unchecked`` (the schema is none, or has a part that
+cannot be evaluated here: see ``valid``); ``cycle`` (it depends on itself). The first that
 applies is given, in the order malformed, duplicate, cycle, orphan, unknown
-tool, invalid, unanswered.
+tool, unchecked, invalid, unanswered.
 
 Defined results: null texts are empty messages; null roles, turns and
 conversations stay null (null conversations are one conversation, null turns come
@@ -38,11 +39,14 @@ from __future__ import annotations
 import json
 import math
 import re
+from collections.abc import Iterator
+from fractions import Fraction
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import StringType
 
 from .common import discard, map_batches, materialize
 
@@ -73,43 +77,216 @@ _KINDS = {
     "boolean": lambda v: isinstance(v, bool),
     "null": lambda v: v is None,
     "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),
-    "integer": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool) and float(v).is_integer(),
+    "integer": lambda v: not isinstance(v, bool) and (isinstance(v, int) or isinstance(v, float) and v.is_integer()),
 }
 
 
-def valid(value, schema) -> bool:
-    """Against the parts of JSON Schema that tool definitions use; a reference to a result fits everywhere."""
-    if isinstance(value, dict) and set(value) == {"$ref"}:
-        return True
+class SchemaError(ValueError):
+    """A schema, or a part of it, that cannot be evaluated."""
+
+
+def _is_ref(value) -> bool:
+    return isinstance(value, dict) and set(value) == {"$ref"}
+
+
+def _all(parts: list[bool | None]) -> bool | None:
+    return False if False in parts else None if None in parts else True
+
+
+def _any(parts: list[bool | None]) -> bool | None:
+    return True if True in parts else None if None in parts else False
+
+
+def _between(parts: list[bool | None], low: float, high: float) -> bool | None:
+    """Whether the number of parts that hold lies within bounds."""
+    least, most = parts.count(True), len(parts) - parts.count(False)
+    return False if most < low or least > high else True if low <= least and most <= high else None
+
+
+_SPACE = r"\t\n\v\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+_ECMA = {"$": r"\Z", ".": r"[^\n\r\u2028\u2029]", r"\s": f"[{_SPACE}]", r"\S": f"[^{_SPACE}]", r"\/": "/"}
+
+
+def _search(pattern, text: str) -> bool:
+    """An ECMA pattern, as far as it can be written for Python's ``re``."""
+    if not isinstance(pattern, str):
+        raise SchemaError("pattern")
+    out, inside = [], False
+    for t in re.findall(r"\\k<\w+>|\\.|\(\?<(?![=!])|.", pattern, re.S):
+        if t == r"\S" and inside or t in (r"\A", r"\Z", r"\a"):
+            raise SchemaError("pattern")
+        if t.startswith(r"\k<"):
+            t = f"(?P={t[3:]}".replace(">", ")")
+        elif t == "(?<" and not inside:
+            t = "(?P<"
+        elif inside:
+            t = _SPACE if t == r"\s" else "/" if t == r"\/" else r"\[" if t == "[" else t
+        else:
+            t = _ECMA.get(t, t)
+        if t == "[" and not inside:
+            inside = True
+        elif t == "]" and inside:
+            inside = False
+        out.append(t)
+    try:
+        return re.search("".join(out), text, re.ASCII) is not None
+    except (re.error, OverflowError) as e:
+        raise SchemaError("pattern") from e
+
+
+def _schemas(x) -> Iterator[dict]:
+    if isinstance(x, dict):
+        yield x
+    for v in x.values() if isinstance(x, dict) else x if isinstance(x, list) else ():
+        yield from _schemas(v)
+
+
+def _resolve(ref, root):
+    """What a reference within the schema stands for."""
+    own = root.get("$id") if isinstance(root, dict) else None
+    if isinstance(ref, str) and isinstance(own, str) and ref.split("#")[0] == own.rstrip("#"):
+        ref = "#" + ref.partition("#")[2]
+    if not isinstance(ref, str) or not ref.startswith("#"):
+        raise SchemaError("a reference to another schema")
+    path = unquote(ref[1:])
+    if path and not path.startswith("/"):
+        found = [x for x in _schemas(root) if x.get("$anchor") == path or x.get("$id") == "#" + path]
+        if len(found) != 1:
+            raise SchemaError("anchor")
+        return found[0]
+    at = root
+    for step in path.split("/")[1:]:
+        step = step.replace("~1", "/").replace("~0", "~")
+        try:
+            at = at[int(step)] if isinstance(at, list) else at[step]
+        except (KeyError, IndexError, TypeError, ValueError) as e:
+            raise SchemaError("a reference to nothing") from e
+    return at
+
+
+def _check(value, schema, root) -> bool | None:
+    """None where it depends on a result that a reference stands for."""
     if isinstance(schema, bool):
         return schema
     if not isinstance(schema, dict):
-        return True
-    kinds = schema.get("type")
-    kinds = [kinds] if isinstance(kinds, str) else kinds or []
-    if kinds and not any(_KINDS.get(k, lambda _: False)(value) for k in kinds):
-        return False
-    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
-        return False
-    if "const" in schema and canonical(value) != canonical(schema["const"]):
-        return False
+        raise SchemaError("no schema")
+    if schema is not root and isinstance(schema.get("$id"), str) and not schema["$id"].startswith("#"):
+        raise SchemaError("a schema within the schema")
+    for k in ("unevaluatedProperties", "unevaluatedItems", "$dynamicRef", "$recursiveRef"):
+        if k in schema and schema[k] not in (True, {}):
+            raise SchemaError(k)
+
+    def get(key: str, kind: str, default=None):
+        found = schema.get(key, default)
+        if key in schema and not _KINDS[kind](found):
+            raise SchemaError(key)
+        return found
+
+    def number(key: str, default: float) -> float:
+        found = get(key, "number", default)
+        if found < 0 and key not in ("minimum", "maximum"):
+            raise SchemaError(key)
+        return found
+
+    def names(found) -> list[str]:
+        if not isinstance(found, list) or not all(isinstance(k, str) for k in found):
+            raise SchemaError("names")
+        return found
+
+    def many(key: str) -> list:
+        found = get(key, "array", [])
+        if key in schema and not found:
+            raise SchemaError(key)
+        return found
+
+    def within(size: int, low: str, high: str) -> bool:
+        low, high = number(low, 0), number(high, math.inf)
+        return low <= size <= high
+
+    def sub(inner, part=value) -> bool | None:
+        return _check(part, inner, root)
+
+    out: list[bool | None] = []
+    if "$ref" in schema:
+        out.append(sub(_resolve(schema["$ref"], root)))
+    for key, combine in (("allOf", _all), ("anyOf", _any), ("oneOf", lambda p: _between(p, 1, 1))):
+        if key in schema:
+            out.append(combine([sub(x) for x in many(key)]))
+    if "not" in schema:
+        found = sub(schema["not"])
+        out.append(None if found is None else not found)
+    if "if" in schema:
+        found = sub(schema["if"])
+        then, other = (sub(schema.get(k, True)) for k in ("then", "else"))
+        out.append(then if found else other if found is False else then if then == other else None)
+    if _is_ref(value):
+        # What the result is cannot be known: what is said above holds for every value or not.
+        plain = set(schema) & {"type", "enum", "const", "multipleOf", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "pattern", "items", "additionalItems", "prefixItems", "contains", "minItems", "maxItems", "uniqueItems", "properties", "patternProperties", "additionalProperties", "propertyNames", "required", "minProperties", "maxProperties", "dependentRequired", "dependentSchemas", "dependencies"}
+        return _all([*out, None] if plain else out)
+    if "type" in schema:
+        kinds = [schema["type"]] if isinstance(schema["type"], str) else names(schema["type"])
+        if not all(k in _KINDS for k in kinds):
+            raise SchemaError("type")
+        out.append(any(_KINDS[k](value) for k in kinds))
+    for key in ("enum", "const"):
+        if key in schema:
+            options = get("enum", "array") if key == "enum" else [schema["const"]]
+            out.append(canonical(value) in map(canonical, options) or (None if _refs(value) else False))
     if isinstance(value, dict):
-        own = schema.get("properties", {})
-        if any(k not in value for k in schema.get("required", [])):
-            return False
-        rest = schema.get("additionalProperties", True)
-        return all(valid(v, own.get(k, rest)) for k, v in value.items())
-    if isinstance(value, list):
-        if not schema.get("minItems", 0) <= len(value) <= schema.get("maxItems", math.inf):
-            return False
-        return all(valid(v, schema.get("items", True)) for v in value)
-    if isinstance(value, str):
-        if not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", math.inf):
-            return False
-        return "pattern" not in schema or re.search(schema["pattern"], value) is not None
-    if _KINDS["number"](value):
-        return schema.get("minimum", -math.inf) <= value <= schema.get("maximum", math.inf)
-    return True
+        own, patterns, rest = get("properties", "object", {}), get("patternProperties", "object", {}), schema.get("additionalProperties", True)
+        out += [k in value for k in names(schema.get("required", []))]
+        out.append(within(len(value), "minProperties", "maxProperties"))
+        for k, v in value.items():
+            those = [own[k]] if k in own else []
+            those += [x for p, x in patterns.items() if _search(p, k)]
+            out += [sub(x, v) for x in those or [rest]]
+            if "propertyNames" in schema:
+                out.append(sub(schema["propertyNames"], k))
+        for key in ("dependentRequired", "dependentSchemas", "dependencies"):
+            for k, x in get(key, "object", {}).items():
+                if k in value:
+                    out += [n in value for n in names(x)] if key == "dependentRequired" or isinstance(x, list) else [sub(x)]
+    elif isinstance(value, list):
+        out.append(within(len(value), "minItems", "maxItems"))
+        first, rest = get("prefixItems", "array", []), schema.get("items", True)
+        if isinstance(rest, list):
+            first, rest = rest, schema.get("additionalItems", True)
+        out += [sub(first[i] if i < len(first) else rest, v) for i, v in enumerate(value)]
+        if "contains" in schema:
+            out.append(_between([sub(schema["contains"], v) for v in value], number("minContains", 1), number("maxContains", math.inf)))
+        if get("uniqueItems", "boolean", False):
+            out.append(len(set(map(canonical, value))) == len(value) and (None if _refs(value) else True))
+    elif isinstance(value, str):
+        out.append(within(len(value), "minLength", "maxLength"))
+        if "pattern" in schema:
+            out.append(_search(schema["pattern"], value))
+    elif _KINDS["number"](value):
+        low, high = number("minimum", -math.inf), number("maximum", math.inf)
+        out.append(low <= value <= high)
+        # In draft 4 the exclusive bounds are flags.
+        for key, bound, beyond in (("exclusiveMinimum", low, lambda b: value > b), ("exclusiveMaximum", high, lambda b: value < b)):
+            flag = schema.get(key)
+            if flag is not None and flag is not False:
+                out.append(beyond(bound if flag is True else get(key, "number")))
+        if "multipleOf" in schema:
+            if number("multipleOf", 1) == 0:
+                raise SchemaError("multipleOf")
+            out.append((Fraction(repr(value)) / Fraction(repr(schema["multipleOf"]))).denominator == 1)
+    return _all(out)
+
+
+def valid(value, schema) -> bool:
+    """Against JSON Schema (the keywords of draft 2020-12 and the older forms of items and dependencies).
+
+    A reference to a result fits wherever some value does. ``format`` and contents of
+    strings are annotations and not checked. Raises SchemaError for what cannot be
+    evaluated: references to other schemas, ``unevaluated...``, dynamic references,
+    patterns that ``re`` does not know, and schemas that are none.
+    """
+    try:
+        return _check(value, schema, schema) is not False
+    except (TypeError, ValueError, KeyError, AttributeError, OverflowError, RecursionError) as e:
+        raise SchemaError(str(e)) from e
 
 
 def _refs(value) -> list[str]:
@@ -210,13 +387,13 @@ def link(chats: DataFrame) -> DataFrame:
         linked = linked.join(order, "node", "left")
     else:
         linked = linked.withColumns({"at": F.lit(None).cast("struct<t:bigint,d:int>"), "settled": F.lit(True)})
-    checked = linked.withColumn("fits", F.when((F.col("kind") == "call") & F.col("schema").isNotNull(), _fits(F.col("body"), F.col("schema"))).otherwise(True))
+    checked = linked.withColumn("fits", F.when((F.col("kind") == "call") & F.col("schema").isNotNull(), _fits(F.col("body"), F.col("schema"))).otherwise("ok"))
     status = (
         F.when(F.col("counts").isNull(), "duplicate")
         .when(~F.coalesce("settled", F.lit(True)), "cycle")
         .when((F.col("kind") == "result") & F.col("call").isNull(), "orphan")
         .when((F.col("kind") == "call") & F.col("has_schemas") & F.col("schema").isNull(), "unknown tool")
-        .when(~F.col("fits"), "invalid")
+        .when(F.col("fits") != "ok", F.col("fits"))
         .when((F.col("kind") == "call") & F.col("result").isNull(), "unanswered")
         .otherwise("ok")
     )
@@ -235,11 +412,17 @@ def link(chats: DataFrame) -> DataFrame:
     return both.select("conv_id", "turn", "row", "seq", "kind", "call_id", "name", "status", "at_turn", "at_depth", text.alias("json"))
 
 
-@F.pandas_udf(BooleanType())
+@F.pandas_udf(StringType())
 def _fits(bodies, schemas):
     import pandas as pd
 
-    return pd.Series([b is None or s is None or valid(json.loads(b), json.loads(s)) for b, s in zip(bodies, schemas)], dtype="bool")
+    def fits(body, schema) -> str:
+        try:
+            return "ok" if body is None or schema is None or valid(json.loads(body), json.loads(schema)) else "invalid"
+        except SchemaError:
+            return "unchecked"
+
+    return pd.Series([fits(b, s) for b, s in zip(bodies, schemas)], dtype="object")
 
 
 def _order(every: DataFrame, edges: DataFrame) -> DataFrame | None:

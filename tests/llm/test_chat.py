@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -77,3 +78,55 @@ def test_schema():
     assert chat.valid({"k": 1, "l": [0, 1.5]}, s) and chat.valid({"k": "x", "m": None}, s)
     assert not chat.valid({}, s) and not chat.valid({"k": 2}, s) and not chat.valid({"k": 1, "l": [-1]}, s) and not chat.valid({"k": 1, "l": [1, 2, 3]}, s) and not chat.valid([], s)
     assert chat.valid({"k": {"$ref": "a"}}, s)
+
+
+STRING_OR_NULL = {"anyOf": [{"type": "string"}, {"type": "null"}]}
+KEYWORDS = [
+    (STRING_OR_NULL, ["x", None], [5, []]),
+    ({"oneOf": [{"type": "integer"}, {"minimum": 2}]}, [1, 2.5], [3, 1.5]),
+    ({"allOf": [{"minimum": 1}, {"maximum": 2}]}, [1, 2], [0, 3]),
+    ({"not": {"type": "string"}}, [1], ["x"]),
+    ({"$ref": "#/$defs/X", "$defs": {"X": {"type": "string"}}}, ["x"], [5]),
+    ({"$ref": "#/definitions/a~1b%25", "definitions": {"a/b%": {"const": 1}}}, [1, 1.0], [True]),
+    ({"$ref": "#x", "$defs": {"y": {"$anchor": "x", "type": "null"}}}, [None], [0]),
+    ({"type": "object", "properties": {"next": {"$ref": "#"}}, "additionalProperties": False}, [{"next": {"next": {}}}], [{"next": {"last": 1}}]),
+    ({"exclusiveMinimum": 0, "exclusiveMaximum": 1}, [0.5, "x"], [0, 1]),
+    ({"minimum": 0, "exclusiveMinimum": True}, [1], [0]),
+    ({"multipleOf": 0.1}, [0.3, 1, 10**400], [0.35]),
+    ({"uniqueItems": True}, [[1, True, "1"]], [[1, 1.0], [{"a": 1, "b": 2}, {"b": 2, "a": 1}]]),
+    ({"prefixItems": [{"type": "string"}], "items": False}, [["x"], []], [[1], ["x", 1]]),
+    ({"items": [{"type": "string"}], "additionalItems": False}, [["x"]], [["x", 1]]),
+    ({"contains": {"type": "string"}, "maxContains": 1}, [["x", 1]], [[], ["x", "y"]]),
+    ({"patternProperties": {"^n": {"type": "integer"}}, "additionalProperties": False}, [{"n1": 1}], [{"n1": "x"}, {"m": 1}]),
+    ({"minProperties": 1, "maxProperties": 1}, [{"a": 1}], [{}, {"a": 1, "b": 1}]),
+    ({"propertyNames": {"maxLength": 1}}, [{"a": 1}], [{"ab": 1}]),
+    ({"dependentRequired": {"a": ["b"]}}, [{"b": 1}, {"a": 1, "b": 1}], [{"a": 1}]),
+    ({"dependencies": {"a": ["b"], "c": {"required": ["d"]}}}, [{"a": 1, "b": 1}], [{"a": 1}, {"c": 1}]),
+    ({"if": {"type": "string"}, "then": {"minLength": 2}, "else": {"minimum": 2}}, ["xx", 2], ["x", 1]),
+    ({"pattern": "^[a-z\\d]+$"}, ["a1", 5], ["a1\n", "\u0661"]),
+]
+
+
+@pytest.mark.parametrize("schema,good,bad", KEYWORDS)
+def test_keywords(schema, good, bad):
+    assert all(chat.valid(v, schema) for v in good)
+    assert not any(chat.valid(v, schema) for v in bad)
+
+
+def test_references_to_results_fit_where_some_value_does():
+    ref = {"$ref": "a"}
+    for schema in (STRING_OR_NULL, {"oneOf": [{"type": "string"}, {"type": "integer"}]}, {"not": {"type": "string"}}, {"enum": [1]}):
+        assert chat.valid(ref, schema) and chat.valid([ref], {"items": schema})
+    assert not chat.valid({"k": ref, "l": 1}, {"properties": {"k": True}, "additionalProperties": False})
+    assert not chat.valid({"k": ref}, {"properties": {"k": False}})
+
+
+BROKEN = [{"properties": {"a": {"pattern": "^\\p{L}+$"}}}, {"required": 3}, {"required": "a"}, {"$ref": "https://example.org/x"}, {"$ref": "#/$defs/none"}, {"$ref": "#"}, {"type": "any"}, {"properties": {"a": {"minLength": "1"}}}, {"allOf": 1}, {"unevaluatedProperties": False}, None]
+
+
+def test_schemas_that_cannot_be_evaluated(spark):
+    schemas = [{"properties": {"a": STRING_OR_NULL}}, {"properties": {"a": {"$ref": "#/$defs/X"}}, "$defs": {"X": {"type": "null"}}}, *BROKEN]
+    tools = "<tools>" + json.dumps([{"name": f"t{i}", "parameters": s} for i, s in enumerate(schemas)]) + "</tools>"
+    chats = [(1, 0, "system", tools), (1, 1, "assistant", "".join(call(f"c{i}", f"t{i}", a="x" if i > 1 else 5) for i in range(len(schemas))))]
+    got = {r.call_id: r.status for r in chat.link(table(spark, chats)).collect() if r.kind == "call"}
+    assert got == {f"c{i}": "invalid" if i < 2 else "unchecked" for i in range(len(schemas))}
