@@ -21,12 +21,13 @@ Formats read (all JSON):
 
 Status of an event: ``ok``; ``malformed`` (a block that is not such JSON: kept as
 text); ``duplicate`` (the identifier was used before in the conversation: the
-first by turn, row and place counts); ``unanswered`` (a call without result);
+first by turn, row and place counts); ``dangling`` (a call whose arguments refer to an
+identifier that no call or result of the conversation has); ``unanswered`` (a call without result);
 ``orphan`` (a result without call); ``unknown tool`` (schemas are declared, not this one); ``invalid``
 (arguments break the schema); ``unchecked`` (the schema is none, or has a part that
 cannot be evaluated here: see ``valid``); ``cycle`` (it depends on itself). The first that
-applies is given, in the order malformed, duplicate, cycle, orphan, unknown
-tool, unchecked, invalid, unanswered.
+applies is given, in the order malformed, duplicate, cycle, dangling, orphan,
+unknown tool, unchecked, invalid, unanswered.
 
 Defined results: null texts are empty messages; null roles, turns and
 conversations stay null (null conversations are one conversation, null turns come
@@ -375,14 +376,17 @@ def link(chats: DataFrame) -> DataFrame:
     result = firsts.filter("kind = 'result'").select("c", "call_id", F.col("node").alias("result"))
     pairs = materialize(call.join(result, ["c", "call_id"], "full"), "chat-pairs")
     calls = every.filter("kind = 'call'").join(call.select("c", F.col("call").alias("node")), ["c", "node"])
-    refs = calls.select("c", "node", F.explode("refs").alias("call_id")).join(pairs, ["c", "call_id"]).select(F.coalesce("result", "call").alias("src"), F.col("node").alias("dst"))
+    met = materialize(calls.select("c", "node", F.explode("refs").alias("call_id")).join(pairs, ["c", "call_id"], "left").select(F.coalesce("result", "call").alias("src"), F.col("node").alias("dst")), "chat-refs")
+    # A reference to an identifier that nothing has is no edge, but its call says so.
+    refs = met.filter("src is not null")
+    dangling = met.filter("src is null").select(F.col("dst").alias("node"), F.lit(True).alias("dangles")).distinct()
     edges = materialize(pairs.filter("call is not null and result is not null").select(F.col("call").alias("src"), F.col("result").alias("dst")).union(refs).distinct(), "chat-edges")
     order = _order(every, edges)
     schemas = every.filter("kind = 'schema'").groupBy("c", "name").agg(F.min(F.struct(place.alias("place"), F.col("body"))).alias("m")).select("c", "name", F.col("m.body").alias("schema"))
     declared = every.filter("kind = 'schema'").select("c").distinct().withColumn("has_schemas", F.lit(True))
     # Only events of tools meet the joins; messages pass by.
     linked = tools.join(firsts.select("c", "node", F.lit(True).alias("counts")), ["c", "node"], "left").join(pairs.select("c", "call_id", "call", "result"), ["c", "call_id"], "left")
-    linked = linked.join(schemas, ["c", "name"], "left").join(declared, "c", "left")
+    linked = linked.join(schemas, ["c", "name"], "left").join(declared, "c", "left").join(dangling, "node", "left")
     if order is not None:
         linked = linked.join(order, "node", "left")
     else:
@@ -391,6 +395,7 @@ def link(chats: DataFrame) -> DataFrame:
     status = (
         F.when(F.col("counts").isNull(), "duplicate")
         .when(~F.coalesce("settled", F.lit(True)), "cycle")
+        .when(F.col("dangles"), "dangling")
         .when((F.col("kind") == "result") & F.col("call").isNull(), "orphan")
         .when((F.col("kind") == "call") & F.col("has_schemas") & F.col("schema").isNull(), "unknown tool")
         .when(F.col("fits") != "ok", F.col("fits"))

@@ -130,3 +130,20 @@ def test_schemas_that_cannot_be_evaluated(spark):
     chats = [(1, 0, "system", tools), (1, 1, "assistant", "".join(call(f"c{i}", f"t{i}", a="x" if i > 1 else 5) for i in range(len(schemas))))]
     got = {r.call_id: r.status for r in chat.link(table(spark, chats)).collect() if r.kind == "call"}
     assert got == {f"c{i}": "invalid" if i < 2 else "unchecked" for i in range(len(schemas))}
+
+
+def test_dangling_references(spark):
+    chats = [
+        (1, 0, "assistant", call("a", x={"$ref": "gone"}) + call("b", x=[{"$ref": "a"}, {"$ref": "also gone"}, {"$ref": "gone"}]) + call("c", x={"$ref": "b"}) + call("d", x={"$ref": "late"}) + call("e", x={"$ref": "other"})),
+        (1, 1, "tool", result("a", 1)),
+        (1, 2, "tool", result("b", 1)),
+        (1, 3, "tool", result("c", 1)),
+        (1, 4, "tool", result("late", 1)),
+        (1, 5, "tool", result("d", 1)),
+        (2, 0, "assistant", call("other", x=1)),
+    ]
+    got = chat.link(table(spark, chats)).collect()
+    assert {r.call_id: r.status for r in got if r.kind == "call"} == {"a": "dangling", "b": "dangling", "c": "ok", "d": "ok", "e": "dangling", "other": "unanswered"}
+    assert len(got) == 11 and {r.call_id: r.status for r in got if r.kind == "result"} == {"a": "ok", "b": "ok", "c": "ok", "d": "ok", "late": "orphan"}
+    # Without any edge the call says so all the same.
+    assert chat.link(table(spark, [(3, 0, "assistant", call("a", x={"$ref": "gone"}))])).first().status == "dangling"
