@@ -2,7 +2,8 @@
 
 ``spark.read.format("shapefile")`` gives ``fid, part, geom, x0, y0, x1, y1``:
 ``fid`` is the record's number, ``geom`` WKB. Records of other types (Z and M
-ones too) and records without points are skipped. Options:
+ones too) and records without points are skipped; each task warns of those it
+skipped, and ``skipped`` counts them by type. Options:
 
 * ``rings``: ``split`` (default) makes a polygon of each outer ring (clockwise)
   with its holes, ``part`` numbering them; ``compat`` takes the first ring as the
@@ -19,7 +20,9 @@ handing results to other programs. Tables are kept as Parquet.
 from __future__ import annotations
 
 import io
+import logging
 import struct
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,6 +106,11 @@ def decode(content: bytes, rings: str = "split") -> list[list[np.ndarray]] | Non
     return list(out.values())
 
 
+def _kind(content: bytes) -> int:
+    """The type of a record; -1 for one too short to have one."""
+    return struct.unpack_from("<i", content)[0] if len(content) >= 4 else -1
+
+
 def to_wkb(rings: list[np.ndarray]) -> bytes:
     out = [struct.pack("<BII", 1, 3, len(rings))]
     for r in rings:
@@ -145,6 +153,7 @@ class ShapefileReader(DataSourceReader):
         index = _index(self.path)[partition.lo : partition.hi]
         *_, source = _open(self.path)
         rows: list[tuple] = []
+        left: Counter = Counter()
         with source:
             for fid, (at, size) in enumerate(index.tolist(), partition.lo):
                 source.seek(at + 8)
@@ -155,7 +164,10 @@ class ShapefileReader(DataSourceReader):
                     x0, y0, x1, y1 = struct.unpack_from("<4d", content, 4)
                     if x0 > self.bbox[2] or x1 < self.bbox[0] or y0 > self.bbox[3] or y1 < self.bbox[1]:
                         continue
-                for part, rings in enumerate(decode(content, self.rings) or []):
+                polygons = decode(content, self.rings)
+                if polygons is None:
+                    left[_kind(content)] += 1
+                for part, rings in enumerate(polygons or []):
                     low, high = rings[0].min(axis=0), rings[0].max(axis=0)
                     rows.append((fid, part, to_wkb(rings), *low, *high))
                 if len(rows) >= 2000:
@@ -163,6 +175,8 @@ class ShapefileReader(DataSourceReader):
                     rows = []
         if rows:
             yield _batch(rows)
+        if left:
+            logging.getLogger(__name__).warning("%s, records %d to %d: skipped %d (number by type: %s)", self.path, partition.lo, partition.lo + len(index) - 1, left.total(), dict(left))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -240,6 +254,28 @@ def read(spark: SparkSession, path: str, bbox: tuple[float, float, float, float]
     return (reader.option("bbox", ",".join(map(repr, bbox))) if bbox else reader).load(path)
 
 
+def skipped(spark: SparkSession, path: str, step: int = 20_000) -> DataFrame:
+    """``kind, records``: how many records of the file ``read`` skips, by their type (5: polygons without points)."""
+    n = len(_index(path))
+
+    def each(batches):
+        for batch in batches:
+            for lo in batch.column(0).to_pylist():
+                left: Counter = Counter()
+                *_, source = _open(path)
+                with source:
+                    for at, size in _index(path)[lo : lo + step].tolist():
+                        source.seek(at + 8)
+                        # Type, box, number of parts and of points.
+                        head = source.read(min(size, 44))
+                        if _kind(head) != POLYGON or len(head) == 44 and struct.unpack_from("<i", head, 40)[0] == 0:
+                            left[_kind(head)] += 1
+                yield pa.RecordBatch.from_arrays([pa.array(list(left), pa.int32()), pa.array(list(left.values()), pa.int64())], names=["kind", "records"])
+
+    ranges = spark.range(0, n, step, max(1, -(-n // step)))
+    return ranges.mapInArrow(each, "kind int, records long").groupBy("kind").agg(F.sum("records").alias("records"))
+
+
 def clipped(spark: SparkSession, path: str, bbox: tuple[float, float, float, float], rings: str = "split") -> DataFrame:
     """Read and cut to a box: each polygon of what is left is a row."""
     register(spark)

@@ -99,3 +99,21 @@ def test_arguments():
     for bad in (["merge", "w.shp"], ["merge", "w.shp", "r.shp", "--max-inland-km", "-1"], ["merge", "w.shp", "r.shp", "--max-inland-km", "nan"]):
         with pytest.raises(SystemExit):
             parser().parse_args(bad)
+
+
+def test_skipped_records_are_counted(spark, tmp_path, caplog):
+    records = [content([H]), content([H], kind=15), content([H], kind=15), content([[]]), struct.pack("<i", 0), content([FAR])]
+    shapes, index = bytearray(100), bytearray(struct.pack(">i", shapefile.FILE_CODE) + bytes(96))
+    for k, c in enumerate(records):
+        index += struct.pack(">ii", len(shapes) // 2, len(c) // 2)
+        shapes += struct.pack(">ii", k + 1, len(c) // 2) + c
+    path = str(tmp_path / "mixed.shp")
+    (tmp_path / "mixed.shp").write_bytes(shapes)
+    (tmp_path / "mixed.shx").write_bytes(index)
+    assert sorted(r.fid for r in shapefile.read(spark, path).collect()) == [0, 5]
+    for step in (2, 20_000):
+        assert {r.kind: r.records for r in shapefile.skipped(spark, path, step).collect()} == {15: 2, 5: 1, 0: 1}
+    reader = shapefile.ShapefileReader({"path": path})
+    for p in reader.partitions():
+        list(reader.read(p))
+    assert "skipped 4" in caplog.text
