@@ -7,25 +7,34 @@ border. Walking back through the table gives the encoding. As the table of a
 prefix never changes, appended bytes only extend it, and after an edit it is
 filled again only until it agrees with what was there.
 
+Tables of documents are encoded and decoded by JVM functions (``java``), which
+fill the same table from the UTF-8 of a row without a Python worker; matches of
+the public pattern are found by their classes of characters. ``PrefixTable`` and
+other patterns use the Python form.
+
 Defined results: null and empty texts have no tokens; repeated rows stay rows;
-an empty table gives an empty result.
+null ids stay null; a text without spaces is one piece, whose table has 4 bytes
+for each of its bytes; other columns, whatever their names, are left out; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .chunks import Chunks
 from .common import as_texts, documents, map_batches
+from .jvm import register
 
 _NEVER = 1 << 60
+# Fixed value: the pattern whose matches the JVM functions find.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class Ranks:
@@ -154,24 +163,21 @@ def load(path: str) -> Ranks:
         return Ranks({base64.b64decode(t): int(r) for t, r in map(bytes.split, f)})
 
 
-@lru_cache(maxsize=4)
-def _coder(path: str, pattern: str) -> Chunks:
-    """Lives as long as the Python worker, so that later tasks find its caches filled."""
-    ranks = load(path)
-    return Chunks(regex.compile(pattern).findall, lambda pieces: [np.array(ranks.encode_piece(p.encode()), np.uint32).tobytes() for p in pieces], tokens=250_000, chunks=200_000)
-
-
-def encode(texts: list[str], path: str, pattern: str) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit integers."""
-    return list(_coder(path, pattern).encoded(texts))
+def encode(texts: list[str], path: str, pattern: str = PATTERN) -> list[bytes]:
+    """The ids of each text as little-endian unsigned 32-bit integers, in Python."""
+    ranks, pieces = load(path), regex.compile(pattern).findall
+    return [np.array([i for p in pieces(t) for i in ranks.encode_piece(p.encode())], "<u4").tobytes() for t in texts]
 
 
 def decode(ids: bytes, path: str) -> bytes:
-    return b"".join(map(load(path).token.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
+    return b"".join(map(load(path).token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str = PATTERN) -> DataFrame:
     """``doc_id, ids``: the ids of each row as bytes."""
+    if pattern == PATTERN:
+        name = register(docs.sparkSession, "littoral_bpe_encode", "littoral.BpeEncode", "binary")
+        return documents(docs).select("doc_id", F.call_udf(name, F.col("text").cast("binary"), F.lit(path)).alias("ids"))
 
     def make():
         def each(batch):
@@ -182,30 +188,19 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return map_batches(documents(docs), make, "doc_id long, ids binary")
 
 
-def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id, text`` again from ``doc_id, ids``."""
-
-    def make():
-        def each(batch):
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode(x, path).decode() for x in batch.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
+def _decoded(spark, path: str):
+    name = register(spark, "littoral_bpe_decode", "littoral.BpeDecode", "binary")
+    return F.call_udf(name, F.col("ids"), F.lit(path))
 
-        return each
 
-    return map_batches(encoded.select("doc_id", "ids"), make, "doc_id long, text string")
+def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
+    """``doc_id, text`` again from ``doc_id, ids``."""
+    return encoded.select("doc_id", _decoded(encoded.sparkSession, path).cast("string").alias("text"))
 
 
-def digests(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str = PATTERN, with_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``): encoded, then decoded from the ids, row by row."""
-
-    def make():
-        def each(batch):
-            rows = []
-            for ids in _coder(path, pattern).encoded(as_texts(batch.column(1))):
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode(ids, path)).hexdigest(), ids if with_ids else None))
-            n, a, b, ids = zip(*rows)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b), pa.array(ids, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns[: 4 + with_ids], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + with_ids])
-
-        return each
-
-    return map_batches(documents(docs), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if with_ids else ""))
+    encoded = encode_documents(docs, path, pattern)
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    out = encoded.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2(_decoded(docs.sparkSession, path), 256).alias("decoded_sha256"), "ids")
+    return out if with_ids else out.drop("ids")

@@ -65,5 +65,33 @@ def test_rows(spark):
     assert sorted(((r.doc_id, r.text) for r in back), key=str) == sorted(((d, t or "") for d, t in rows), key=str)
 
 
+def awkward():
+    rng = random.Random(5)
+    alphabet = [" ", "  ", "\n", "\t ", " \r\n", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "'s", "'LL", "'ve", "'", "''", "the", "ed", "é", "ñ", "ß", "Ö", "12", "³", "Ⅷ", "一二", "کتاب", "\u0301", "😀", "\U0001e900", "\U00010d40", "\u1c89", "#!", "<|endoftext|>", ".", "\x00", "\uffff"]
+    return ["".join(rng.choices(alphabet, k=rng.randrange(1, 40))) for _ in range(1500)] + ["x" * 3000, "ab" * 500 + " " * 300 + "é" * 200, "A", " ", "'", "'r", " 's"]
+
+
+def test_jvm_same_as_tiktoken(spark):
+    rows = list(enumerate(awkward()))
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode_documents(docs(spark, rows), PATH).collect()}
+    for k, t in rows:
+        assert got[k] == TIK.encode_ordinary(t), repr(t)
+
+
+def test_jvm_vocabularies(spark):
+    path = P.path("byte_bpe_50k.tiktoken")
+    other = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}, special_tokens={})
+    rows = list(enumerate(awkward()[::5]))
+    for r in bpe.encode_documents(docs(spark, rows), path).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == other.encode_ordinary(rows[r.doc_id][1])
+
+
+def test_other_patterns(spark):
+    pattern = r"\S+|\s+"
+    tik = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=RANKS, special_tokens={})
+    for r in bpe.digests(docs(spark, [(1, "don't stop  now"), (2, None)]), PATH, pattern, with_ids=True).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == tik.encode_ordinary("don't stop  now" if r.doc_id == 1 else "")
+
+
 def test_empty(spark):
     assert bpe.digests(docs(spark, []), PATH, P.PATTERN).collect() == []
