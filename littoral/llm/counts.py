@@ -1,43 +1,65 @@
 """Token counts without ids: pieces are counted once for each distinct pre-token.
 
-The corpus' distinct pre-tokens and their frequencies are gathered first, and
-the tokenizer's model counts the pieces of each once. Documents then become
-pre-token frequencies that are joined to those counts. The join is split by
-frequency: the most frequent pre-tokens, a table of bounded size, go to every
-task and are summed on the spot; the many rare ones, a few percent of all
-occurrences, are joined by a shuffle. Both are exact, and no hot pre-token is
-ever shuffled.
-
-Meant for tokenizers whose pre-tokenizer never joins two sides of a space (all
-that split on white space do).
+Each text becomes its distinct pre-tokens and how often each stands in it (a JVM
+function; nothing else is kept of the text). The corpus' distinct pre-tokens are
+gathered, and the tokenizer's model counts the pieces of each once. Every
+per-document frequency is then joined to these counts and summed. The join is
+split by frequency: the most frequent pre-tokens, a table of bounded size, are
+broadcast, the many rare ones, a few percent of all frequencies, meet theirs by
+a shuffle. Both are exact, and no hot pre-token is ever shuffled. Texts are cut
+again where they are needed again, which costs less than writing their pieces.
+
+Meant for tokenizers whose pre-tokenizer never joins two sides of white space
+(all that split on white space do). Those that normalise and split as
+``NATIVE`` are cut in the JVM; the others by their own library in Python.
 
 Defined results: null texts count as empty, with no bytes and no tokens;
-repeated rows stay rows; an empty table gives an empty result.
+repeated rows (equal id and text) stay rows; null ids stay null; other columns,
+whatever their names, are left out; an empty table gives an empty result. A
+text without white space is one chunk, whatever its length.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark import TaskContext
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import MARKS, Memo, byte_letters
-from .common import as_texts, documents, materialize
+from .chunks import byte_letters
+from .common import NULL_ID, discard, documents, materialize, text_key
+from .jvm import register
 
 #: Pre-tokens that are broadcast at most, and the characters that one of them may have.
 HEAD, HEAD_CHARS = 100_000, 32
 LIMIT = 2048
-#: Marks a chunk with a special string: it is counted by the whole tokenizer. No byte-level piece has this character.
-_WHOLE = "\x00"
+
+# What a tokenizer's file says if the JVM function cuts as it does.
+NATIVE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+_ENTRIES = "array<struct<pre_token:string,n:int>>"
 
 
 class Cutter:
-    """Pre-tokens of chunks, and the pieces of pre-tokens, by the tokenizers library."""
+    """Pre-tokens of chunks, and the pieces of pre-tokens, by the tokenizers library.
+
+    A pre-token is the text that it stands for, after normalisation. One that
+    begins with a space, which none does, is a chunk for the whole tokenizer,
+    one with two spaces a string as the library's pre-tokenizer writes it.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,37 +69,29 @@ class Cutter:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.letters = {b: c for b, c in byte_letters().items()}
-        # Words in old Latin letters, with or without a mark, are cut without the library if it cuts such words so.
-        self.plain = True
-        self.plain = all(self._plain(w) == self._by_library(w) for w in ("Ab", "éÀß", "zž.", "Q!", "ŒUVRE,", "x;", "y:", "ä?"))
-        self.memo = Memo(lambda chunks: [self.cut(c) for c in chunks], 300_000)
-
-    def _plain(self, chunk: str) -> tuple[str, ...] | None:
-        word = chunk[:-1] if chunk[-1:] in MARKS else chunk
-        if not self.plain or not word.isalpha():
-            return None
-        low = word.lower()
-        if not word.isascii():
-            if max(word) >= "\u0250" or "\u0130" in word:
-                return None
-            low = low.encode().decode("latin-1").translate(self.letters)
-        return (low,) if word is chunk or len(word) == len(chunk) else (low, chunk[-1])
-
-    def cut(self, chunk: str) -> tuple[str, ...]:
-        return self._plain(chunk) or self._by_library(chunk)
-
-    def _by_library(self, chunk: str) -> tuple[str, ...]:
-        if any(s in chunk for s in self.special):
-            return (_WHOLE + chunk,)
-        if self.tokenizer.normalizer is not None:
-            chunk = self.tokenizer.normalizer.normalize_str(chunk)
-        return tuple(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk))
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        # A special string with white space in it, or one that is looked for in lower case, is not for the JVM function.
+        self.native = all(config[k] == v for k, v in NATIVE.items()) and not any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] or t["content"].split() != [t["content"]] for t in config["added_tokens"])
+        self.letters = byte_letters()
+
+    def cut(self, text: str) -> Counter:
+        """The pre-tokens of a text by the library's own normaliser and pre-tokenizer; an empty one stands for the text."""
+        out, normalizer, splitter = Counter([""]), self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        for chunk in regex.findall(r"\S+", text):
+            if any(s in chunk for s in self.special):
+                out[" " + chunk] += 1
+                continue
+            low = chunk if normalizer is None else normalizer.normalize_str(chunk)
+            out.update("  " + p for p, _ in splitter.pre_tokenize_str(low))
+        return out
 
     def pieces(self, pre_token: str) -> int:
-        if pre_token.startswith(_WHOLE):
+        if pre_token.startswith("  "):
+            return len(self.tokenizer.model.tokenize(pre_token[2:]))
+        if pre_token.startswith(" "):
             return len(self.tokenizer.encode(pre_token[1:], add_special_tokens=False).ids)
-        return len(self.tokenizer.model.tokenize(pre_token))
+        return len(self.tokenizer.model.tokenize(pre_token.encode().decode("latin-1").translate(self.letters)))
 
 
 @lru_cache(maxsize=4)
@@ -85,54 +99,39 @@ def _cutter(path: str) -> Cutter:
     return Cutter(path)
 
 
-def _few(texts: list[str], size: int = 3_000_000):
-    """Slices of a few MB."""
-    lo = 0
-    while lo < len(texts):
-        hi, total = lo, 0
-        while hi < len(texts) and (hi == lo or total + len(texts[hi]) < size):
-            total += len(texts[hi])
-            hi += 1
-        yield lo, hi
-        lo = hi
+def frequencies(docs: DataFrame, path: str) -> DataFrame:
+    """``doc, k, n_bytes, pre_token, n``: one row for each distinct pre-token of each row; the empty pre-token is the row itself."""
+    cutter = _cutter(path)
+    if cutter.native:
+        name = register(docs.sparkSession, "littoral_pre_tokens", "littoral.PreTokens", _ENTRIES)
+        entries = F.call_udf(name, F.col("text").cast("binary"), F.lit(" ".join(cutter.special)))
+    else:
 
+        @F.arrow_udf(_ENTRIES)
+        def cut(texts: pa.Array) -> pa.Array:
+            own = _cutter(path)
+            return pa.array([[{"pre_token": p, "n": n} for p, n in own.cut(t or "").items()] for t in texts.to_pylist()], pa.list_(pa.struct([("pre_token", pa.string()), ("n", pa.int32())])))
 
-def vocabulary(docs: DataFrame, path: str) -> DataFrame:
-    """``pre_token, freq, pieces`` of every distinct pre-token."""
-
-    def run(batches):
-        cutter, seen = _cutter(path), Counter()
+        entries = cut("text")
+    row = documents(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), text_key("text").alias("k"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), entries.alias("e"))
+    return row.select("doc", "k", "n_bytes", F.inline("e"))
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pre_token", "freq"])
 
-        for batch in batches:
-            texts = as_texts(batch.column(1))
-            for lo, hi in _few(texts):
-                chunks = Counter()
-                for t in texts[lo:hi]:
-                    chunks.update(t.split(" "))
-                cut = cutter.memo.want(set(chunks))
-                for c, k in chunks.items():
-                    for p in cut[c]:
-                        seen[p] += k
-                if len(seen) > 300_000:
-                    yield out()
-                    seen.clear()
-        yield out()
+def vocabulary(docs: DataFrame, path: str) -> DataFrame:
+    """``pre_token, freq, pieces`` of every distinct pre-token; of the empty one no pieces."""
 
     def count(batches):
         cutter = _cutter(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([cutter.pieces(p) for p in batch.column(0).to_pylist()], pa.int32())], names=["pre_token", "freq", "pieces"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([cutter.pieces(p) if p else 0 for p in batch.column(0).to_pylist()], pa.int32())], names=["pre_token", "freq", "pieces"])
 
-    partial = documents(docs).mapInArrow(run, "pre_token string, freq long")
-    return materialize(partial.groupBy("pre_token").agg(F.sum("freq").alias("freq")).mapInArrow(count, "pre_token string, freq long, pieces int"), "pre-tokens")
+    counted = frequencies(docs, path).groupBy("pre_token").agg(F.sum("n").alias("freq"))
+    return materialize(counted.mapInArrow(count, "pre_token string, freq long, pieces int"), "pre-tokens")
 
 
-def _head(vocab: DataFrame, most: int) -> dict[str, int]:
-    """The pieces of the most frequent pre-tokens: those above the least power of two that ``most`` of them at most reach."""
-    short = vocab.filter(F.length("pre_token") <= HEAD_CHARS)
+def _head(vocab: DataFrame, most: int) -> DataFrame:
+    """The most frequent pre-tokens: those above the least power of two that ``most`` of them at most reach, and the empty one."""
+    short = vocab.filter((F.length("pre_token") <= HEAD_CHARS) & (F.col("pre_token") != ""))
     by_power = {r.power: r.n for r in short.groupBy(F.floor(F.log2("freq")).cast("int").alias("power")).agg(F.count("*").alias("n")).collect()}
     total, least = 0, 62
     for power in sorted(by_power, reverse=True):
@@ -140,45 +139,22 @@ def _head(vocab: DataFrame, most: int) -> dict[str, int]:
         if total > most:
             break
         least = power
-    return {r.pre_token: r.pieces for r in short.filter(F.col("freq") >= (1 << least)).select("pre_token", "pieces").collect()}
+    return vocab.filter((F.col("pre_token") == "") | (F.length("pre_token") <= HEAD_CHARS) & (F.col("freq") >= (1 << least))).select("pre_token", "pieces")
 
 
 def count(docs: DataFrame, path: str, limit: int = LIMIT, head: int = HEAD) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row."""
     vocab = vocabulary(docs, path)
-    known = docs.sparkSession.sparkContext.broadcast(_head(vocab, head))
-
-    def run(batches):
-        cutter, pieces = _cutter(path), known.value
-        row = TaskContext.get().partitionId() << 40
-
-        def summed(chunks):
-            cut = cutter.memo.want(set(chunks))
-            return [(sum(pieces.get(p, 0) for p in cut[c]), [p for p in cut[c] if p not in pieces]) for c in chunks]
-
-        memo = Memo(summed, 200_000)
-        for batch in batches:
-            texts = as_texts(batch.column(1))
-            rows, sums, rare = [], [], []
-            for lo, hi in _few(texts):
-                parts = [t.split(" ") for t in texts[lo:hi]]
-                get = memo.want({c for p in parts for c in p}).__getitem__
-                for p in parts:
-                    total, often = 0, Counter()
-                    for n, rest in map(get, p):
-                        total += n
-                        if rest:
-                            often.update(rest)
-                    rows.append(row)
-                    row += 1
-                    sums.append(total)
-                    rare.append(list(often.items()))
-            tail = pa.array([[{"pre_token": p, "n": n} for p, n in r] for r in rare], pa.list_(pa.struct([("pre_token", pa.string()), ("n", pa.int32())])))
-            sizes = pa.array([len(t.encode()) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), batch.column(0), sizes, pa.array(sums, pa.int64()), tail], names=["row", "doc_id", "n_bytes", "n", "tail"])
-
-    by_row = materialize(documents(docs).mapInArrow(run, "row long, doc_id long, n_bytes long, n long, tail array<struct<pre_token:string,n:int>>"), "token-counts")
-    tail = by_row.select("row", F.explode("tail").alias("t")).select("row", "t.pre_token", F.col("t.n").alias("times"))
-    more = tail.join(vocab.select("pre_token", "pieces"), "pre_token").groupBy("row").agg(F.sum(F.col("times") * F.col("pieces")).alias("more"))
-    n = (F.col("n") + F.coalesce("more", F.lit(0))).alias("n_tokens")
-    return by_row.select("row", "doc_id", "n_bytes", "n").join(more, "row", "left").select("doc_id", "n_bytes", n).withColumn("over_limit", F.col("n_tokens") > limit)
+    often = materialize(_head(vocab, head), "pre-tokens-head")
+    entries = frequencies(docs, path)
+    # Bounded: HEAD rows of HEAD_CHARS characters. Every row has its empty pre-token here.
+    summed = entries.join(F.broadcast(often), "pre_token").groupBy("doc", "k").agg(F.max("n_bytes").alias("n_bytes"), F.sum(F.col("n") * F.col("pieces")).alias("a"), F.sum(F.when(F.col("pre_token") == "", F.col("n"))).cast("int").alias("copies"))
+    tail = entries.drop("n_bytes").join(F.broadcast(often.select("pre_token")), "pre_token", "left_anti")
+    rest = vocab.join(F.broadcast(often.select("pre_token")), "pre_token", "left_anti").select("pre_token", "pieces")
+    more = tail.join(rest, "pre_token").groupBy("doc", "k").agg(F.sum(F.col("n") * F.col("pieces")).alias("b"))
+    n_tokens = ((F.col("a") + F.coalesce("b", F.lit(0))) / F.col("copies")).cast("long").alias("n_tokens")
+    rows = summed.join(more, ["doc", "k"], "left").select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "n_bytes", n_tokens, F.explode(F.sequence(F.lit(1), "copies")))
+    out = materialize(rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")), "token-counts")
+    discard(vocab)
+    discard(often)
+    return out
