@@ -1,4 +1,4 @@
-"""Texts cut at spaces into chunks that tokenize on their own, with bounded caches of what they become.
+"""Texts cut at spaces into chunks that tokenize on their own, and a bounded memory of what keys become.
 
 With the public byte-level pattern no match holds white space after its first
 character, so a single space between two other characters always starts a new
@@ -12,11 +12,7 @@ import re
 from collections.abc import Callable, Iterable
 from itertools import islice
 
-#: Marks that are neither letters nor numbers nor part of a contraction.
-MARKS = frozenset(".,;:!?")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-#: White space beside the four common kinds.
-_RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def byte_letters() -> dict[int, str]:
@@ -26,83 +22,31 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-def cut(text: str) -> list[str]:
-    """Chunks; the space before each but the first belongs to it but is left out of the string."""
-    if "  " in text or " \n" in text or "\n " in text or " \t" in text or "\t " in text or " \r" in text or "\r " in text or text[:1] == " " or text[-1:] == " " or _RARE.search(text):
-        return _CUT.split(text)
-    return text.split(" ")
-
-
 class Memo:
     """``key -> value``, missing values made in bulk.
 
-    At ``limit`` entries the later half is forgotten: what came first is mostly
-    what comes often. Memory is so bounded whatever the vocabulary.
+    Keys of up to ``LONGEST`` characters or bytes are remembered, ``limit`` of
+    them at most; longer ones are made again each time. So memory is bounded
+    whatever the texts are. At the limit the later half is forgotten: what came
+    first is mostly what comes often.
     """
 
-    def __init__(self, make: Callable[[list[str]], Iterable], limit: int):
-        self.make, self.limit, self.known = make, limit, {}
-
-    def want(self, keys: set[str]) -> dict:
-        """A dict that holds all of ``keys``."""
-        missing = list(keys.difference(self.known))
-        if missing:
-            if len(self.known) + len(missing) > self.limit:
-                self.known = dict(islice(self.known.items(), self.limit // 2))
-                missing = list(keys.difference(self.known))
-            self.known.update(zip(missing, self.make(missing)))
-        return self.known
-
-
-class Chunks:
-    """The bytes of a text's tokens, by way of its chunks and their pre-tokens.
-
-    ``split(chunk)`` gives the pre-tokens of a chunk as it stands in the text
-    (with the space before it); ``make`` encodes pre-tokens, in bulk. A chunk
-    with one of the ``special`` strings is given to ``make`` as it is.
-    """
-
-    def __init__(self, split: Callable[[str], list[str]], make: Callable[[list[str]], Iterable[bytes]], special: Iterable[str] = (), tokens: int = 500_000, chunks: int = 400_000):
-        self.split, self.make, self.special = split, make, tuple(special)
-        self.tokens = Memo(make, tokens)
-        self.after = Memo(lambda chunks: self._of(chunks, " "), chunks)
-        self.first = Memo(lambda chunks: self._of(chunks, ""), 20_000)
-
-    def _of(self, chunks: list[str], lead: str) -> list[bytes]:
-        split, parts = self.split, []
-        for c in chunks:
-            # Letters, or letters and a mark behind them, need no search. (Older scripts only: of
-            # these all versions of Unicode agree what is a letter.)
-            if c.isalpha() and (c.isascii() or max(c) < "\u0250"):
-                parts.append((lead + c,))
-            elif c[-1:] in MARKS and c[:-1].isalpha() and (c.isascii() or max(c) < "\u0250"):
-                parts.append((lead + c[:-1], c[-1]))
-            else:
-                parts.append(split(lead + c))
-        get = self.tokens.want({t for p in parts for t in p}).__getitem__
-        return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
-
-    def _with_special(self, text: str) -> bytes:
-        out, lead = [], ""
-        for c in cut(text):
-            out += self.make([lead + c]) if any(s in c for s in self.special) else self._of([c], lead)
-            lead = " "
-        return b"".join(out)
-
-    def encoded(self, texts: list[str], size: int = 3_000_000) -> Iterable[bytes]:
-        lo = 0
-        while lo < len(texts):  # a few MB at a time, so that what is wanted at once stays small
-            hi, total = lo, 0
-            while hi < len(texts) and (hi == lo or total + len(texts[hi]) < size):
-                total += len(texts[hi])
-                hi += 1
-            parts = [None if any(s in t for s in self.special) else cut(t) for t in texts[lo:hi]]
-            first = self.first.want({p[0] for p in parts if p})
-            wanted: set[str] = set()
-            for p in parts:
-                if p:
-                    wanted.update(p[1:])
-            get = self.after.want(wanted).__getitem__
-            for t, p in zip(texts[lo:hi], parts):
-                yield first[p[0]] + b"".join(map(get, p[1:])) if p else self._with_special(t)
-            lo = hi
+    LONGEST = 48
+
+    def __init__(self, make: Callable[[list], Iterable], limit: int):
+        self.make, self.limit, self.known, self.passing = make, limit, {}, []
+
+    def want(self, keys: Iterable) -> dict:
+        """A dict that holds all of ``keys`` until the next call."""
+        known = self.known
+        for k in self.passing:
+            known.pop(k, None)
+        missing = [k for k in keys if k not in known]
+        if len(known) + len(missing) > self.limit and known:
+            self.known = known = dict(islice(known.items(), self.limit // 2))
+            missing = [k for k in keys if k not in known]
+        known.update(zip(missing, self.make(missing)))
+        # More than the limit are held while they are wanted, not longer.
+        over = max(0, len(known) - self.limit)
+        self.passing = missing[len(missing) - over :] + [k for k in missing[: len(missing) - over] if len(k) > self.LONGEST]
+        return known

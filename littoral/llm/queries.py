@@ -18,7 +18,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenfiles.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return tokenfiles.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
