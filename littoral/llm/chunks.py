@@ -36,15 +36,15 @@ class Memo:
     def __init__(self, make: Callable[[list], Iterable], limit: int):
         self.make, self.limit, self.known, self.passing = make, limit, {}, []
 
-    def want(self, keys: Iterable) -> dict:
+    def want(self, keys: set) -> dict:
         """A dict that holds all of ``keys`` until the next call."""
         known = self.known
         for k in self.passing:
             known.pop(k, None)
-        missing = [k for k in keys if k not in known]
+        missing = list(keys.difference(known))
         if len(known) + len(missing) > self.limit and known:
             self.known = known = dict(islice(known.items(), self.limit // 2))
-            missing = [k for k in keys if k not in known]
+            missing = list(keys.difference(known))
         known.update(zip(missing, self.make(missing)))
         # More than the limit are held while they are wanted, not longer.
         over = max(0, len(known) - self.limit)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import discard, materialize, path, release
 
-__all__ = ["NULL_ID", "as_bytes", "as_texts", "discard", "documents", "map_batches", "materialize", "path", "read_table", "release", "text_key"]
+__all__ = ["NULL_ID", "as_bytes", "as_texts", "discard", "documents", "map_batches", "materialize", "once_each", "path", "read_table", "release", "text_key"]
 
 
 def documents(df: DataFrame) -> DataFrame:
@@ -31,6 +31,13 @@ def text_key(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
+def once_each(keyed: DataFrame, hits: DataFrame) -> DataFrame:
+    """``doc, k, text, found`` of each key of ``hits`` (doc, k, copies, found), however many rows (``copies``) it has."""
+    one = keyed.join(hits.filter("copies = 1"), ["doc", "k"]).select("doc", "k", "text", "found")
+    several = keyed.join(hits.filter("copies > 1"), ["doc", "k"]).groupBy("doc", "k").agg(F.min("text").alias("text"), F.first("found").alias("found"))
+    return one.unionByName(several)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from littoral.llm import repeats
@@ -35,9 +36,9 @@ def cases():
     return rows + [(90, prose(7, 20_000)), (91, "É" + prose(7, 20_000))]
 
 
-@pytest.mark.parametrize("bucket,frequent", [(300, 5), (10**6, 2000)])
-def test_matches_brute_force(spark, bucket, frequent):
-    got = repeats.remove(docs(spark, cases()), bucket=bucket, frequent=frequent).collect()
+@pytest.mark.parametrize("bucket,run,prefix", [(60, 6, 1), (400, 3, 2), (10**6, 5, 2)])
+def test_matches_brute_force(spark, bucket, run, prefix):
+    got = repeats.remove(docs(spark, cases()), run=run, prefix=prefix, bucket=bucket).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == brute(cases())
 
 
@@ -47,8 +48,41 @@ def test_empty(spark):
 
 def test_every_window_has_an_anchor():
     rng = np.random.default_rng(2)
-    words = rng.integers(0, 30, 500).astype(np.uint64)
-    h, at, first, last = repeats.anchors(words)
+    sizes = np.array([5, 200, 0, 13, 282])
+    text, h, at, first, last = repeats.anchors(rng.integers(0, 30, 500).astype(np.uint64), sizes)
     starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
-    assert starts.tolist() == list(range(500 - 12))
-    assert ((at >= first) & (at + 6 <= last + 13)).all()
+    assert starts.tolist() == [*range(5, 205 - 12), 205, *range(218, 500 - 12)]
+    assert set(text.tolist()) == {1, 3, 4} and (np.diff(text) >= 0).all()
+    assert ((at >= last) & (at + repeats.RUN <= first + 13)).all()
+
+
+def brute_nodes(suffixes, depth):
+    """Maximal repeats to the right: prefixes of several suffixes that go on differently (or end)."""
+    below = defaultdict(list)
+    for s in suffixes:
+        for n in range(depth, len(s) + 1):
+            below[tuple(s[:n])].append(s[n : n + 1])
+    return sorted((len(p), len(after)) for p, after in below.items() if len(after) > 1 and (len({tuple(a) for a in after}) > 1 or [] in after))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_nodes_of_sorted_suffixes(seed):
+    rng = np.random.default_rng(seed)
+    text = [b"%d" % x for x in rng.integers(0, 3, 90)]
+    suffixes = [text[i : i + int(rng.integers(4, 12))] for i in range(80)]
+    order, common = repeats.sorted_suffixes(pa.array([b" ".join(s).decode() for s in suffixes]))
+    for i in range(1, len(order)):
+        a, b = suffixes[order[i - 1]], suffixes[order[i]]
+        same = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert common[i] == same
+    for depth in (1, 3, 6):
+        found = repeats.nodes(common, depth)
+        for d, lo, hi in found:
+            assert len({tuple(suffixes[order[i]][:d]) for i in range(lo, hi)}) == 1
+        assert sorted((d, hi - lo) for d, lo, hi in found) == brute_nodes(suffixes, depth)
+
+
+def test_equal_rows_travel_once(spark):
+    text = prose(1, 300)
+    got = repeats.marks(docs(spark, [(1, text)] * 40 + [(2, text)] * 40 + [(None, text)] * 40)).collect()
+    assert {r.doc for r in got} == {2, (1 << 63) - 1} and max(len(r.marks) for r in got) < 150
