@@ -50,7 +50,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove(read_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return suffixes.remove(read_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

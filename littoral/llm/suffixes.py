@@ -1,23 +1,30 @@
 """Repeated byte strings by suffix arrays of shards.
 
 Each byte covered by a string of ``LENGTH`` bytes that also starts anywhere else
-is removed. Every such string has one run of ``GRAM`` bytes in it that hashes
-lowest (the first of equal ones); equal strings have it at the same place. These
-anchors, one in about two hundred bytes, are counted first; only around anchors
-that occur twice or more are bytes moved at all. The strings of an anchor, as
-one stretch of bytes, go to the shard of its hash. A shard's suffix array is
-made by induced sorting in the JVM (leftmost-smaller substrings sorted
-recursively, the rest induced in linear time), its common prefixes in text
-order; neighbours that share ``LENGTH`` bytes are repeats. No string is in two
-stretches, so none meets itself.
+is removed; bytes under shorter repeats, of ``SHORT`` bytes, are counted beside
+it from the same suffix arrays. Every string of the shortest length has one run
+of ``GRAM`` bytes in it that hashes lowest (the first of equal ones); equal
+strings have it at the same place. These anchors, one in about half such a
+length, are counted first; only around anchors that occur twice or more are
+bytes moved at all. The strings of an anchor, as one stretch of bytes that goes
+on to the end of the longest length, go to the shard of its hash. A shard's
+suffix array is made by induced sorting in the JVM (leftmost-smaller substrings
+sorted recursively, the rest induced in linear time), its common prefixes in
+text order; neighbouring starts that share a length are repeats. No string
+starts in two stretches, so none meets itself.
 
 Equal stretches of an anchor are one in its shard: their strings all repeat, and
-groups of copies, however large, come to a few stretches. An anchor whose
-stretches still overfill a shard is split by longer runs around it.
-
-Defined results: null and empty texts have no bytes; texts shorter than
-``LENGTH`` lose nothing; repeated rows are documents like any other and repeat
-each other; null ``doc_id``s stay null; an empty table gives an empty result.
+groups of copies, however large, come to a few stretches. They are told by
+their digests (128 bits); bytes are moved only of anchors with two and more
+different stretches, once for each of these. An anchor whose stretches still
+overfill a shard is split by longer runs around it. Rows of
+equal id and text are one key and travel once, with their number.
+
+Defined results: null and empty texts have no bytes; texts shorter than a length
+lose nothing by it; repeated rows are documents like any other and repeat each
+other; null ``doc_id``s stay null; very long texts are looked at a step at a
+time; other columns, whatever their names, are left out by ``remove`` and kept
+by ``clean``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,12 +35,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, as_bytes, discard, documents, map_batches, materialize, release, text_key
+from .common import NULL_ID, as_bytes, discard, documents, map_batches, materialize, once_each, release, text_key
 from .grams import mix
 from .jvm import register
 
 LENGTH = 400
-GRAM = 48
+#: Four bytes a word with its space: passages of over 50 words are longer, but for the rarest.
+SHORT = 200
+GRAM = 32
 #: Bytes of a shard about; places looked at in one go.
 SHARD, STEP = 4_000_000, 1 << 20
 _ODD = 0x9E3779B97F4A7C15
@@ -119,7 +128,9 @@ def _anchors(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     return map_batches(keyed, make, "doc long, k long, anchor long, first int, more int, at int")
 
 
-def _stretches(hits: DataFrame, length: int) -> DataFrame:
+def _stretches(hits: DataFrame, length: int, with_bytes: bool) -> DataFrame:
+    """Each stretch's digest and size: its ``starts``, and behind them what a string of ``length`` from the last one needs, as far as the text goes."""
+
     def make():
         def each(batch):
             counts, parts = [], []
@@ -133,97 +144,141 @@ def _stretches(hits: DataFrame, length: int) -> DataFrame:
                 at += n
             digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<i8").reshape(-1, 2)
             rep = pa.array(np.repeat(np.arange(len(counts)), counts))
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rep), batch.column(1).take(rep), flat.field("anchor"), flat.field("first"), flat.field("at"), pa.array(np.ascontiguousarray(digest[:, 0])), pa.array(np.ascontiguousarray(digest[:, 1])), pa.array(parts, pa.binary())],
-                names=["doc", "k", "anchor", "first", "at", "h1", "h2", "bytes"],
-            )
+            columns = [
+                *(batch.column(c).take(rep) for c in (0, 1)),
+                *(flat.field(c) for c in ("n", "anchor", "first", "at")),
+                pa.array(more + np.int32(1)),
+                pa.array(np.fromiter(map(len, parts), np.int32, len(parts))),
+                *(pa.array(np.ascontiguousarray(digest[:, c])) for c in (0, 1)),
+            ]
+            return pa.RecordBatch.from_arrays(columns + [pa.array(parts, pa.binary())] * with_bytes, names=names)
 
         return each
 
-    return map_batches(hits, make, "doc long, k long, anchor long, first int, at int, h1 long, h2 long, bytes binary")
+    schema = "doc long, k long, n long, anchor long, first int, at int, starts int, size int, h1 long, h2 long" + ", bytes binary" * with_bytes
+    names = [c.split()[0] for c in schema.split(", ")]
+    return map_batches(hits.select("doc", "k", "text", "found"), make, schema)
 
 
-def marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
-    """``doc, k, marks``: for each key with repeats, ``first`` of a stretch and its runs of repeated starts (int pairs)."""
+def marks(docs: DataFrame, lengths: tuple[int, ...] = (LENGTH,), gram: int = GRAM, shard: int = SHARD) -> DataFrame:
+    """``doc, k, marks``: for each key with repeats, ``first`` of a stretch and, for each length, its repeated starts: so many from the first one (``all``) or runs of them (int pairs)."""
     spark = docs.sparkSession
+    short, long = min(lengths), max(lengths)
     repeats = register(spark, "littoral_suffix_shard", "littoral.SuffixShard", "array<binary>")
     keyed = _keyed(docs)
-    found = materialize(_anchors(keyed, length, gram), "suffix-anchors")
+    found = materialize(_anchors(keyed, short, gram), "suffix-anchors")
     # Written, so that both sides of the join come from plain exchanges and Spark can split a frequent anchor.
     twice = materialize(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "suffix-twice")
-    hits = materialize(found.join(twice, "anchor").groupBy("doc", "k").agg(F.collect_list(F.struct("anchor", "first", "more", "at")).alias("found")), "suffix-hits")
+    # Copies of a row bring each stretch several times: it is one, that stands in so many.
+    hits = found.join(twice, "anchor").groupBy("doc", "k").agg(F.collect_set(F.struct("anchor", "first", "more", "at")).alias("found"), F.count("*").alias("n"))
+    hits = hits.select("doc", "k", (F.col("n") / F.size("found")).cast("long").alias("copies"), "found")
+    hits = materialize(hits.withColumn("found", F.transform("found", lambda f: f.withField("n", F.col("copies")))), "suffix-hits")
     discard(found)
+    discard(twice)
     release(spark)
-    parts = materialize(_stretches(keyed.join(hits, ["doc", "k"]).select("doc", "k", "text", "found"), length), "suffix-stretches")
+    parts = materialize(_stretches(once_each(keyed, hits), long, False), "suffix-stretches")
+    copies = materialize(hits.filter("copies > 1").select("doc", "k", "copies"), "suffix-copies")
     discard(hits)
     release(spark)
-    # Equal stretches are one; what several have repeats all along.
-    distinct = materialize(parts.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n"), F.min("at").alias("at"), F.min("bytes").alias("bytes")), "suffix-distinct")
-    members, groups = _split(distinct, length, gram, shard)
-    size = groups.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    # Equal stretches are one; what several have repeats all along. One that is alone with its anchor is done by that.
+    # (Its bytes are those of its place in the smallest document; of equal ones, the same row for all.)
+    distinct = materialize(
+        parts.groupBy("anchor", "h1", "h2").agg(F.sum("n").alias("n"), F.min("at").alias("at"), F.min("starts").alias("starts"), F.min("size").alias("size"), F.min("doc").alias("doc"), *(F.min_by(c, "doc").alias(c) for c in ("k", "first"))), "suffix-distinct"
+    )
+    anchors_of = materialize(distinct.groupBy("anchor").agg(F.count("*").alias("stretches"), F.sum(F.col("size").cast("long")).alias("bytes")), "suffix-sizes")
+    every = F.array(*(F.greatest(F.lit(0), F.least(F.col("starts"), F.col("size") - x + 1)) for x in lengths)).alias("all")
+    nothing = F.lit(None).cast("array<binary>").alias("runs")
+    alone = distinct.join(anchors_of.filter("stretches = 1").select("anchor"), "anchor").select("anchor", "h1", "h2", F.lit(0).alias("off"), every, nothing)
+    # Only the others' bytes are moved, each once.
+    asked = distinct.join(anchors_of.filter("stretches > 1").select("anchor"), "anchor").groupBy("doc", "k")
+    asked = asked.agg(F.collect_list(F.struct("anchor", "first", (F.col("starts") - 1).alias("more"), "at", "n")).alias("found"))
+    asked = asked.join(copies, ["doc", "k"], "left").select("doc", "k", F.coalesce("copies", F.lit(1)).alias("copies"), "found")
+    asked = materialize(asked, "suffix-asked")
+    full = materialize(_stretches(once_each(keyed, asked), long, True).select("anchor", "h1", "h2", "n", "at", "starts", "bytes"), "suffix-bytes")
+    release(spark)
+    large = materialize(anchors_of.filter((F.col("stretches") > 1) & (F.col("bytes") > shard)).select("anchor"), "suffix-large")
+    members, groups, sure = _split(full, large, lengths, gram, shard)
+    size = groups.agg(F.sum(F.octet_length("bytes").cast("long"))).first()[0] or 0
     shards = size // shard + 1
-    grouped = groups.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).agg(F.collect_list(F.struct("key", "k1", "k2", "n", "bytes")).alias("s"))
-    marked = grouped.select("s.key", "s.k1", "s.k2", "s.n", F.expr(f"transform(s.bytes, x -> octet_length(x) - {length} + 1)").alias("starts"), F.expr(f"{repeats}(s.bytes, {length})").alias("runs"))
-    runs = materialize(marked.select(F.explode(F.arrays_zip("key", "k1", "k2", "n", "starts", "runs")).alias("m")).select("m.*").filter("n > 1 or runs is not null"), "suffix-runs")
+    grouped = groups.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).agg(F.collect_list(F.struct("key", "k1", "k2", "n", "starts", "bytes")).alias("s"))
+    of = ", ".join(map(str, lengths))
+    called = grouped.select("s", F.expr(f"{repeats}(s.bytes, s.starts, array({of}))").alias("r"))
+    runs = F.transform(F.sequence(F.lit(0), F.size("s") - 1), lambda i: F.struct(F.get("s", i).alias("s"), F.array(*(F.get("r", i + F.size("s") * k) for k in range(len(lengths)))).alias("runs")))
+    marked = called.select(F.explode(runs).alias("m")).select("m.s.*", "m.runs").withColumn("size", F.octet_length("bytes"))
+    some = F.exists("runs", lambda r: r.isNotNull())
+    runs = materialize(marked.filter((F.col("n") > 1) | some).select("key", "k1", "k2", F.when(F.col("n") > 1, every).alias("all"), "runs"), "suffix-runs")
     release(spark)
-    of_stretch = materialize(members.join(runs, ["key", "k1", "k2"]).select("anchor", "h1", "h2", "off", F.when(F.col("n") > 1, F.col("starts")).alias("all"), "runs"), "suffix-found")
+    of_stretch = alone.unionByName(members.join(runs, ["key", "k1", "k2"]).select("anchor", "h1", "h2", "off", "all", "runs"))
+    for rows in sure:
+        of_stretch = of_stretch.unionByName(rows.select("anchor", "h1", "h2", "off", F.array(*(F.lit(int(x == short)) for x in lengths)).alias("all"), nothing))
+    of_stretch = materialize(of_stretch, "suffix-found")
     met = parts.select("doc", "k", "anchor", "first", "h1", "h2").join(of_stretch, ["anchor", "h1", "h2"])
-    return materialize(met.groupBy("doc", "k").agg(F.collect_list(F.struct((F.col("first") + F.col("off")).alias("first"), "all", "runs")).alias("marks")), "suffix-marks")
+    out = materialize(met.groupBy("doc", "k").agg(F.collect_list(F.struct((F.col("first") + F.col("off")).alias("first"), "all", "runs")).alias("marks")), "suffix-marks")
+    for table in (parts, copies, distinct, anchors_of, asked, full, runs, of_stretch):
+        discard(table)
+    return out
 
 
-def _halved(rows: DataFrame, length: int, gram: int) -> tuple[DataFrame, int]:
+def _halved(rows: DataFrame, short: int, long: int, gram: int) -> tuple[DataFrame, int]:
     """Each stretch as two, by the side to which the bytes that all its strings share are made longer.
 
-    The longer run is half way to a whole string, so that each string has it on
-    one side; which one follows from where the old run stands in the string,
-    and so is the same for equal strings.
+    The longer run is half way to a whole short string, so that each string has
+    it on one side; which one follows from where the old run stands in the
+    string, and so is the same for equal strings. Once it is a whole short
+    string, each stretch is one start, and its run grows ahead towards the long
+    length; strings that the text ends before are done.
     """
-    longer = (length + gram + 1) // 2
+    whole = gram >= short
+    longer = ((long if whole else short) + gram + 1) // 2
 
     def make():
         def each(batch):
             cols = {k: batch.column(i).to_pylist() for i, k in enumerate(batch.schema.names)}
             out = []
-            for anchor, h1, h2, n, off, at, data in zip(*(cols[k] for k in ("anchor", "h1", "h2", "n", "off", "at", "bytes"))):
-                starts, left = len(data) - length + 1, at - (longer - gram)
-                for lo, hi, place in ((0, min(starts, left + 1), left), (max(0, left + 1), starts, at)):
-                    if lo < hi:
-                        part = data[lo : hi - 1 + length]
+            for anchor, h1, h2, n, off, at, starts, data in zip(*(cols[k] for k in ("anchor", "h1", "h2", "n", "off", "at", "starts", "bytes"))):
+                left = at - (longer - gram)
+                sides = ((0, 1, 0),) if whole else ((0, min(starts, left + 1), left), (max(0, left + 1), starts, at))
+                for lo, hi, place in sides:
+                    if lo < hi and place + longer <= len(data):
+                        part = data[lo : hi - 1 + long]
                         key = xxhash.xxh3_64_intdigest(data[place : place + longer], longer) - (1 << 63)
                         d1, d2 = np.frombuffer(xxhash.xxh3_128_digest(part), "<i8").tolist()
-                        out.append((anchor, h1, h2, n, off + lo, place - lo, key, d1, d2, part))
-            kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()] * 3 + [pa.binary()]
-            names = ["anchor", "h1", "h2", "n", "off", "at", "key", "k1", "k2", "bytes"]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                        out.append((anchor, h1, h2, n, off + lo, place - lo, hi - lo, key, d1, d2, part))
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.int64()] * 3 + [pa.binary()]
+            names = ["anchor", "h1", "h2", "n", "off", "at", "starts", "key", "k1", "k2", "bytes"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names) if out else None
 
         return each
 
-    chosen = rows.select("anchor", "h1", "h2", "n", "off", "at", "bytes")
-    return map_batches(chosen, make, "anchor long, h1 long, h2 long, n long, off int, at int, key long, k1 long, k2 long, bytes binary"), longer
+    chosen = rows.select("anchor", "h1", "h2", "n", "off", "at", "starts", "bytes")
+    return map_batches(chosen, make, "anchor long, h1 long, h2 long, n long, off int, at int, starts int, key long, k1 long, k2 long, bytes binary"), longer
 
 
-def _split(distinct: DataFrame, length: int, gram: int, shard: int) -> tuple[DataFrame, DataFrame]:
-    """Groups that fit a shard: ``anchor, h1, h2, off, key, k1, k2`` (what is where) and ``key, k1, k2, n, bytes`` (what it is).
+def _split(distinct: DataFrame, large: DataFrame, lengths: tuple[int, ...], gram: int, shard: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Groups that fit a shard: ``anchor, h1, h2, off, key, k1, k2`` (what is where) and ``key, k1, k2, n, starts, bytes`` (what it is); and starts that are known to repeat at the short length.
 
-    An anchor whose stretches would overfill a shard has them halved and dealt
+    An anchor whose stretches would overfill a shard (``large``) has them halved and dealt
     out anew by the longer runs, as often as it takes; runs of one place alone
     go. In the end a run is a whole string, and all of it one stretch.
     """
+    short, long = min(lengths), max(lengths)
     weight = F.sum(F.octet_length("bytes").cast("long"))
-    large = materialize(distinct.groupBy("anchor").agg(weight.alias("b")).filter(F.col("b") > shard).select("anchor"), "suffix-large")
     fit = distinct.join(large, "anchor", "left_anti")
     members = [fit.select("anchor", "h1", "h2", F.lit(0).alias("off"), F.col("anchor").alias("key"), F.col("h1").alias("k1"), F.col("h2").alias("k2"))]
-    groups = [fit.select(F.col("anchor").alias("key"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), "n", "bytes")]
+    groups = [fit.select(F.col("anchor").alias("key"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), "n", "starts", "bytes")]
+    sure: list[DataFrame] = []
     rest = distinct.join(large, "anchor").withColumn("off", F.lit(0))
-    while gram < length and not large.isEmpty():
-        sub, gram = _halved(rest, length, gram)
+    while gram < long and not large.isEmpty():
+        sub, gram = _halved(rest, short, long, gram)
         sub = materialize(sub, "suffix-halved")
-        one = materialize(sub.groupBy("key", "k1", "k2").agg(F.sum("n").alias("n"), F.min("bytes").alias("bytes")), "suffix-distinct")
-        sizes = materialize(one.groupBy("key").agg(F.sum("n").alias("total"), weight.alias("b")).filter("total > 1").select("key", ((F.col("b") > shard) & F.lit(gram < length)).alias("again")), "suffix-sizes")
+        one = materialize(sub.groupBy("key", "k1", "k2").agg(F.sum("n").alias("n"), F.min("starts").alias("starts"), F.min("bytes").alias("bytes")), "suffix-distinct")
+        sizes = materialize(one.groupBy("key").agg(F.sum("n").alias("total"), weight.alias("b")).filter("total > 1").select("key", ((F.col("b") > shard) & F.lit(gram < long)).alias("again")), "suffix-sizes")
         small, large = sizes.filter("not again").select("key"), sizes.filter("again").select("key")
         members.append(sub.join(small, "key").select("anchor", "h1", "h2", "off", "key", "k1", "k2"))
-        groups.append(one.join(small, "key").select("key", "k1", "k2", "n", "bytes"))
+        groups.append(one.join(small, "key").select("key", "k1", "k2", "n", "starts", "bytes"))
         rest = sub.join(large, "key")
+        if gram == short:
+            sure.append(rest.select("anchor", "h1", "h2", "off"))
 
     def union(tables):
         out = tables[0]
@@ -231,52 +286,54 @@ def _split(distinct: DataFrame, length: int, gram: int, shard: int) -> tuple[Dat
             out = out.unionByName(t)
         return out
 
-    return union(members), union(groups)
+    return union(members), union(groups), sure
 
 
-def removed(n: int, found, length: int = LENGTH) -> tuple[np.ndarray, int]:
-    """Which bytes go, and in how many runs."""
+def removed(n: int, found, level: int, length: int) -> tuple[np.ndarray, int]:
+    """Which bytes go by the repeats of one length, and in how many runs."""
     edge = np.zeros(n + 1, np.int64)
     for m in found:
         if m["all"] is not None:
-            runs = np.array([[0, m["all"]]])
+            runs = [[0, m["all"][level]]] if m["all"][level] else []
         else:
-            runs = np.frombuffer(m["runs"], "<i4").reshape(-1, 2)
-        for lo, hi in runs.tolist():
+            runs = np.frombuffer(m["runs"][level] or b"", "<i4").reshape(-1, 2).tolist()
+        for lo, hi in runs:
             edge[m["first"] + lo] += 1
             edge[m["first"] + hi - 1 + length] -= 1
     gone = np.cumsum(edge[:-1]) > 0
     return gone, int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
 
 
-def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
-    """Per row ``doc_id, n_bytes, n_removed, n_spans, kept``: the remaining bytes."""
-    found = marks(docs, length, gram, shard)
+def remove(docs: DataFrame, length: int = LENGTH, short: int = SHORT, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
+    """Per row ``doc_id, n_bytes, n_removed, n_spans, n_repeated, kept``: ``kept`` are the bytes that repeats of ``length`` leave, ``n_repeated`` counts those under repeats of ``short``."""
+    found = marks(docs, (length, short), gram, shard)
     release(docs.sparkSession)
     met = _keyed(docs).join(found, ["doc", "k"], "left").select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "text", "marks")
 
     def make():
         def each(batch):
-            n, gone, spans, kept = [], [], [], []
+            n, gone, spans, under, kept = [], [], [], [], []
             for data, m in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist()):
-                out, count = data, 0
+                out, count, repeated = data, 0, 0
                 if m:
-                    mask, count = removed(len(data), m, length)
-                    out = np.frombuffer(data, np.uint8)[~mask].tobytes()
+                    mask, count = removed(len(data), m, 0, length)
+                    out = np.frombuffer(data, np.uint8)[~mask].tobytes() if count else data
+                    repeated = int(removed(len(data), m, 1, short)[0].sum())
                 n.append(len(data))
                 gone.append(len(data) - len(out))
                 spans.append(count)
+                under.append(repeated)
                 kept.append(out)
-            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (n, gone, spans)), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (n, gone, spans, under)), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "n_repeated", "kept"])
 
         return each
 
-    return map_batches(met, make, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return map_batches(met, make, "doc_id long, n_bytes long, n_removed long, n_spans long, n_repeated long, kept binary")
 
 
 def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """``docs`` with its columns, texts without the repeats: a character goes if all its bytes do. ``n_chars``, where there, follows."""
-    found = marks(docs, length, gram, shard)
+    found = marks(docs, (length,), gram, shard)
     release(docs.sparkSession)
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("own")
     text = F.col("text").cast("string")
@@ -289,7 +346,7 @@ def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int =
         for t, m in zip(texts.to_pylist(), lists.to_pylist()):
             if m:
                 data = np.frombuffer(t.encode(), np.uint8)
-                mask, _ = removed(len(data), m, length)
+                mask, _ = removed(len(data), m, 0, length)
                 char = np.cumsum((data & 0xC0) != 0x80) - 1
                 whole = np.ones(int(char[-1]) + 1, bool)
                 np.logical_and.at(whole, char, mask)

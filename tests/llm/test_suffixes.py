@@ -33,11 +33,20 @@ def cases():
     return rows + [(90, prose(7, 5000)), (91, "É" + prose(7, 5000) + prose(7, 400))]
 
 
-@pytest.mark.parametrize("length,gram,shard", [(400, 48, 4_000_000), (40, 8, 300), (12, 5, 20_000)])
-def test_matches_brute_force(spark, length, gram, shard):
+@pytest.mark.parametrize("length,short,gram,shard", [(400, 200, 32, 4_000_000), (40, 20, 8, 300), (60, 12, 5, 700), (12, 12, 5, 20_000)])
+def test_matches_brute_force(spark, length, short, gram, shard):
     rows = cases()
-    got = suffixes.remove(docs(spark, rows), length, gram, shard).collect()
+    got = suffixes.remove(docs(spark, rows), length, short, gram, shard).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got), key=str) == brute(rows, length)
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_repeated) for r in got) == sorted((str(d), n, gone) for d, n, gone, *_ in brute(rows, short))
+
+
+def test_equal_rows_travel_once(spark):
+    text = prose(1, 300)
+    rows = [(1, text)] * 50 + [(None, text)] * 50
+    got = suffixes.marks(docs(spark, rows), (400, 200)).collect()
+    assert len(got) == 2 and max(len(r.marks) for r in got) < 60
+    assert {r.n_removed for r in suffixes.remove(docs(spark, rows)).collect()} == {len(text)}
 
 
 def test_clean_keeps_columns_and_characters(spark):
@@ -60,7 +69,7 @@ def test_empty(spark):
 
 def test_anchors_cover_every_start():
     data = random.Random(3).randbytes(5000) + b"z" * 2000
-    h, at, first, last = suffixes.anchors(data, step=900)
+    h, at, first, last = suffixes.anchors(data, gram=48, step=900)
     starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
     assert starts.tolist() == list(range(len(data) - 399))
     assert ((at >= last) & (at + 48 <= first + 400)).all()
@@ -68,4 +77,4 @@ def test_anchors_cover_every_start():
 
 def test_anchors_are_few():
     data = random.Random(4).randbytes(100_000)
-    assert 400 < len(suffixes.anchors(data)[0]) < 900
+    assert 400 < len(suffixes.anchors(data, gram=48)[0]) < 900
