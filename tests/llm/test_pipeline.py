@@ -19,6 +19,7 @@ ITEM = prose(77, 40, 10**6)
 
 def rows():
     base = [(i, prose(i, 150 + i), "en", f"s{i % 2}") for i in range(30)]
+    base += [(100 + i, prose(1000 + i, 120 + i), "en", f"s{i % 2}") for i in range(60)]
     base += [(40, base[3][1], "en", "s0"), (41, base[4][1] + " x", "en", "s1"), (42, prose(42, 90) + " " + ITEM, "en", "s0"), (43, "short", "en", "s0"), (44, None, None, None), (45, "", "en", "s0"), (46, "a b " * 50, "en", "s0")]
     base += [(50 + k, prose(500 + k, 80) + "\n" + prose(9, 130) + "\n" + prose(600 + k, 80), "en", "s1") for k in range(3)]
     base += [(60, " ".join(w + "###" for w in prose(61, 80).split()), "en", "s0"), base[0]]
@@ -37,7 +38,7 @@ def test_stages_match_brute_force(spark, tmp_path):
     for (d, t), (_, _, c) in zip(sorted(kept, key=str), [x for x in brute_simhash(sorted(kept, key=str))]):
         groups.setdefault(c, min([(d, t)]))
     firsts = {c: next((d, t) for d, t in kept if d == c) for c in groups}
-    cut = [(d, k.decode()) for d, _, _, _, k in brute_suffixes(list(firsts.values()), 400)]
+    cut = [(d, k.decode()) for d, _, _, _, k in brute_suffixes(list(firsts.values()), 200)]
     clean = [(d, t) for d, t in cut if dc.coverage(dc.words(t.encode()), dc.words(ITEM.encode()))[0] < 0.5]
     assert 42 not in dict(clean)
     want = []
