@@ -24,8 +24,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that stand in two places go from the texts; documents stay, with what is left of them."""
-    return suffixes.clean(docs)
+    """Strings of ``suffixes.SHORT`` bytes that stand in two places go from the texts, the first of them as well.
+
+    Passages of over 50 words are mostly longer than that. Documents stay, with
+    what is left of them.
+    """
+    return suffixes.clean(docs, suffixes.SHORT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
