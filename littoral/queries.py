@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,7 +130,6 @@ def append_fids(spark, d):
     return merge.append_fids(rows, ["rid", "wid", "aid"], base).select("fid", "aid", "wid", "rid")
 
 
-@lru_cache(maxsize=2)
 def _folded(spark, d):
     register(spark)
     return folding.fold(fx.with_geom(fx.water(spark, d)), fx.with_geom(fx.area(spark, d)), cell=CELL)
@@ -149,6 +147,33 @@ def merged_water(spark, d):
     return _folded(spark, d).output().select("fid", F.round(st("st_area", "geom")).cast("bigint").alias("area"))
 
 
+def _one_region(spark, d):
+    """The fold with all polygons as one region, which SQL can follow."""
+    register(spark)
+    area = fx.area(spark, d).withColumn("rid", F.lit(0).cast("bigint"))
+    return folding.fold(fx.with_geom(fx.water(spark, d)), fx.with_geom(area), cell=CELL)
+
+
+def fold_one_region(spark, d):
+    """What becomes of each host: its own polygon and what stands beside it."""
+    done = _one_region(spark, d)
+    parts = done.water.select("wid", "geom").unionByName(done.extras.select("wid", "geom"))
+    return parts.groupBy("wid").agg(F.round(F.sum(st("st_area", "geom"))).cast("bigint").alias("area"))
+
+
+def fold_one_region_patches(spark, d):
+    return _one_region(spark, d).patches.groupBy("wid").agg(F.round(F.sum(st("st_area", "geom"))).cast("bigint").alias("area"))
+
+
+def fold_one_region_output(spark, d):
+    """Rows are numbered without gaps, and the first are the hosts."""
+    done = _one_region(spark, d)
+    whole = done.output().agg(F.count("*").alias("n"), F.count_distinct("fid").alias("fids"), F.min("fid").alias("least"), F.max("fid").alias("most"), F.round(F.sum(st("st_area", "geom"))).cast("bigint").alias("area"))
+    beside = done.extras.agg(F.count("*").alias("beside"))
+    metrics = done.metrics.select("polygons", "matched_hosts")
+    return whole.crossJoin(beside).select((F.col("n") - F.col("beside")).alias("hosts"), (F.col("n") - F.col("fids")).alias("twice"), "least", (F.col("most") - F.col("n")).alias("gap"), "area").crossJoin(metrics)
+
+
 def patch_area(spark, d):
     """The union of each host's areas alone."""
     parts = merge.patches(_united(spark, d))
@@ -243,7 +268,7 @@ def diff_atlas(spark, d):
 
 NAMES = (
     "scan_water_bounds filter_subtype filter_osm_tags water_features select_regions_ordered envelope_candidates overlap_pairs exact_pairs first_match unmatched_areas overlap_groups cap_box cap_clip host_union_area delta_area append_fids patch_area "
-    "fold_metrics patches merged_water manifest_match refresh_plan refresh_counts missing_inputs backoff_schedule viewport simplify_tolerance feature_color geojson_features diff_modified diff_added diff_clusters diff_atlas"
+    "fold_metrics patches merged_water fold_one_region fold_one_region_patches fold_one_region_output manifest_match refresh_plan refresh_counts missing_inputs backoff_schedule viewport simplify_tolerance feature_color geojson_features diff_modified diff_added diff_clusters diff_atlas"
 ).split()
 
 
@@ -285,6 +310,15 @@ def _color_sql() -> str:
     return f"with {_W}, hues as (select wid, {turn('cast(1 as double)/3')} h1, {turn('0')} h2, {turn('-(cast(1 as double)/3)')} h3 from water) select wid, printf('#%02x%02x%02x', {part(1)}, {part(2)}, {part(3)}) color from hues"
 
 
+def _geojson_sql() -> str:
+    """Rectangles keep their corners when simplified; the ring starts at the lower left one and goes up."""
+    corner = lambda x, y: f"'[' || {x} || '.0,' || {y} || '.0]'"
+    ring = " || ',' || ".join(corner(x, y) for x, y in (("x0", "y0"), ("x0", "y1"), ("x1", "y1"), ("x1", "y0"), ("x0", "y0")))
+    own = " || ".join(f"',\"{c}\":' || {c}" for c in ENVELOPE)
+    return f"""with colors as ({_color_sql()}), {_W}, seen as (select * from water where x0 <= {VIEW[2]} and x1 >= {VIEW[0]} and y0 <= {VIEW[3]} and y1 >= {VIEW[1]} order by wid limit {MOST})
+ select wid fid, '{{"type":"Feature","id":' || wid || ',"geometry":{{"type":"Polygon","coordinates":[[' || {ring} || ']]}},"properties":{{"_fid":' || wid || {own} || ',"_color":"' || color || '"}}}}' feature from seen join colors using (wid)"""
+
+
 def oracle_sql() -> dict[str, str]:
     cap = "greatest(0.01, cos(radians((y0+y1)/200.0)))"
     dlon, dlat = f"({CAP_KM}/(111.0*{cap}))", f"({CAP_KM}/111.0)"
@@ -311,6 +345,10 @@ def oracle_sql() -> dict[str, str]:
  select aid, wid, whole, (x1-x0)*(y1-y0) area from c where x0 < x1 and y0 < y1""",
         "host_union_area": f"{_sweep(True)} select wid, area from u",
         "patch_area": f"{_sweep(False)} select wid, area from u",
+        "fold_one_region": f"{_sweep(True)} select wid, area from u union all select wid, (x1-x0)*(y1-y0) area from water where wid not in (select wid from matched)",
+        "fold_one_region_patches": f"{_sweep(False)} select wid, area from u",
+        "fold_one_region_output": f"""{_sweep(True)}, every as (select area from u union all select (x1-x0)*(y1-y0) area from water where wid not in (select wid from matched))
+ select (select count(*) from water) hosts, cast(0 as bigint) twice, cast(0 as bigint) least, cast(-1 as bigint) gap, cast(sum(area) as bigint) area, (select count(*) from area) polygons, (select count(distinct wid) from matched) matched_hosts from every""",
         "delta_area": f"{_sweep(True)} select wid, u.area - (x1-x0)*(y1-y0) added from u join water using (wid)",
         "append_fids": f"{_PAIRS} select (select count(*) from water) + row_number() over (order by rid, wid, aid) - 1 fid, aid, wid, rid from matched join (select aid, rid from area) using (aid)",
         "manifest_match": f"{_STATES} select key, same matches from states",
@@ -321,6 +359,7 @@ def oracle_sql() -> dict[str, str]:
         "viewport": f"with {_W} select wid fid, x0, y0, x1, y1 from water where x0 <= {VIEW[2]} and x1 >= {VIEW[0]} and y0 <= {VIEW[3]} and y1 >= {VIEW[1]} order by wid limit {MOST}",
         "simplify_tolerance": f"with {_W} select wid, cast(round(greatest(x1-x0, y1-y0)/{DIVISOR}.0*1000000) as bigint) micro from water",
         "feature_color": _color_sql(),
+        "geojson_features": _geojson_sql(),
         "diff_modified": f"with {_W} select wid fid, 30*(y1-y0) area from water where wid%10 = 0",
         "diff_added": f"with {_W}, {_A} select aid + (select max(wid) from water) fid, x0, y0, x1, y1 from area where rid = 0",
         "diff_clusters": f"{clusters} select cluster, count(*) n, cast(sum((x1-x0)*(y1-y0)) as bigint) area from d join label using (did) group by cluster",

@@ -22,6 +22,7 @@ from __future__ import annotations
 import io
 import logging
 import struct
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -184,12 +185,18 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["fid", "part", "geom", *ENVELOPE])
 
 
+# Fixed value: the coordinate system of the layers.
+WGS84 = 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]],PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]]'
+
+
 class _Written(WriterCommitMessage):
-    def __init__(self, n: int):
-        self.n = n
+    def __init__(self, n: int, names: dict[str, str]):
+        self.n, self.names = n, names
 
 
 class ShapefileWriter(DataSourceWriter):
+    """Each attempt of a task writes files of its own; only the commit puts them in place, also where there are no rows."""
+
     def __init__(self, options: dict, schema):
         self.path, self.at = options["path"], schema.fieldNames().index("geom")
 
@@ -207,31 +214,44 @@ class ShapefileWriter(DataSourceWriter):
             index.write(struct.pack(">ii", (100 + shapes.tell()) // 2, len(content) // 2))
             shapes.write(struct.pack(">ii", n + 1, len(content) // 2) + content)
             n += 1
-        if n == 0 and self._exists():
-            return _Written(0)  # an empty partition beside the one that wrote
+        return _Written(n, self._files(shapes.getvalue(), index.getvalue(), bounds) if n else {})
+
+    def _files(self, shapes: bytes, index: bytes, bounds: list) -> dict[str, str]:
+        """The parts of a shapefile, written under names of this attempt."""
+        n = len(bounds)
         b = np.array(bounds) if bounds else np.zeros((1, 4))
         box = (*b[:, :2].min(axis=0), *b[:, 2:].max(axis=0))
         header = lambda size: struct.pack(">7i", FILE_CODE, 0, 0, 0, 0, 0, (100 + size) // 2) + struct.pack("<ii8d", 1000, POLYGON, *box, 0, 0, 0, 0)
         dbf = struct.pack("<B3BIHH20x", 3, 95, 7, 26, n, 65, 12) + struct.pack("<11sc4xBB14x", b"FID", b"N", 11, 0) + b"\r" + b"".join(b" %11d" % k for k in range(n)) + b"\x1a"
-        for end, data in ((".shp", header(shapes.tell()) + shapes.getvalue()), (".shx", header(index.tell()) + index.getvalue()), (".dbf", dbf)):
-            self._put(end, data)
-        return _Written(n)
+        names, attempt = {}, uuid.uuid4().hex
+        for end, data in ((".shp", header(len(shapes)) + shapes), (".shx", header(len(index)) + index), (".dbf", dbf), (".prj", WGS84.encode())):
+            fs, name = self._target(end)
+            names[end] = f"{name}.{attempt}.tmp"
+            with fs.open_output_stream(names[end]) as out:
+                out.write(data)
+        return names
+
+    def commit(self, messages: list) -> None:
+        written = [m for m in messages if m is not None and m.n]
+        if len(written) > 1:
+            raise ValueError("a shapefile is written by one task")
+        for end, name in (written[0].names if written else self._files(b"", b"", [])).items():
+            fs, target = self._target(end)
+            if fs.get_file_info(target).type != pafs.FileType.NotFound:
+                fs.delete_file(target)
+            fs.move(name, target)
+
+    def abort(self, messages: list) -> None:
+        for m in messages:
+            for end, name in (m.names if m is not None else {}).items():
+                fs = self._target(end)[0]
+                if fs.get_file_info(name).type != pafs.FileType.NotFound:
+                    fs.delete_file(name)
 
     def _target(self, end: str):
         path = self.path[:-4] + end
         return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
-    def _exists(self) -> bool:
-        fs, name = self._target(".shp")
-        return fs.get_file_info(name).type == pafs.FileType.File
-
-    def _put(self, end: str, data: bytes) -> None:
-        """Written beside its place and then moved: a failed run leaves no half file."""
-        fs, name = self._target(end)
-        with fs.open_output_stream(name + ".tmp") as out:
-            out.write(data)
-        fs.move(name + ".tmp", name)
-
 
 class ShapefileSource(DataSource):
     @classmethod

@@ -38,6 +38,17 @@ def test_round_trip(spark, tmp_path):
     assert spark.read.format("shapefile").option("records", 1).load(path).rdd.getNumPartitions() == 2
 
 
+def test_an_empty_table_replaces_what_was_there(spark, tmp_path):
+    path = str(tmp_path / "a.shp")
+    rows = spark.createDataFrame([(0, polygon_wkb([H])), (1, polygon_wkb([FAR]))], "fid long, geom binary")
+    shapefile.write(rows, path)
+    shapefile.write(rows.filter("fid = 1"), path)
+    assert shapefile.read(spark, path).count() == 1
+    shapefile.write(rows.filter("fid > 5"), path)
+    assert shapefile.read(spark, path).count() == 0
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["a.dbf", "a.prj", "a.shp", "a.shx"]
+
+
 def test_records():
     two = shapefile.decode(content([H, FAR, HOLE]))
     assert [len(p) for p in two] == [2, 1]
