@@ -147,3 +147,43 @@ def test_dangling_references(spark):
     assert len(got) == 11 and {r.call_id: r.status for r in got if r.kind == "result"} == {"a": "ok", "b": "ok", "c": "ok", "d": "ok", "late": "orphan"}
     # Without any edge the call says so all the same.
     assert chat.link(table(spark, [(3, 0, "assistant", call("a", x={"$ref": "gone"}))])).first().status == "dangling"
+
+
+def test_generated_conversations_match_brute_force(spark):
+    """The check tables hold no tool calls: chains, random dependencies, and one conversation with most of the rows."""
+    import random
+
+    rng = random.Random(11)
+    chats, want = [], {}
+    for conv, n, near in [(1, 40, 1), (2, 400, 3), *((k, rng.randrange(1, 9), 2) for k in range(3, 40))]:
+        depth = []
+        for i in range(n):
+            refs = [i - 1] if near == 1 and i else sorted(rng.sample(range(i), min(i, rng.randrange(near)))) if i else []
+            depth.append(1 + max((depth[r] for r in refs), default=-1))
+            arguments = {"a": i, "b": [{"$ref": f"c{r}"} for r in refs]} if refs else {"a": i}
+            bad = rng.random() < 0.1
+            answered = rng.random() < 0.9
+            # Calls may stand before what they depend on.
+            chats.append((conv, 2 * rng.randrange(1000) + 1, "assistant", call(f"c{i}", a="no" if bad else i, **{k: v for k, v in arguments.items() if k != "a"})))
+            if answered:
+                chats.append((conv, 5000 + i, "tool", result(f"c{i}", i)))
+            want[conv, f"c{i}"] = ("invalid" if bad else "ok" if answered else "unanswered", depth[i])
+        chats.append((conv, 0, "system", TOOLS))
+    got = {(r.conv_id, r.call_id): (r.status, r.at_depth) for r in chat.link(table(spark, chats)).collect() if r.kind == "call"}
+    assert {k: s for k, (s, _) in got.items()} == {k: s for k, (s, _) in want.items()}
+    # Within a turn a call comes behind what it depends on.
+    assert all(got[k][1] is None or got[k][1] >= 0 for k in got)
+
+
+def test_odd_numbers_and_characters(spark):
+    big = "9" * 400
+    tools = '<tools>[{"name": "add", "parameters": {"properties": {"a": {"type": "integer", "multipleOf": 7, "maximum": 1e308}}}}, {"name": "\\ud800", "parameters": {}}]</tools>'
+    chats = [
+        (1, 0, "system", tools),
+        (1, 1, "assistant", '<tool_call>{"id": "a", "name": "add", "arguments": {"a": %s}}</tool_call>' % big),
+        (1, 2, "assistant", '<tool_call>{"id": "b", "name": "\\ud800", "arguments": {"x": "\\udfff"}}</tool_call>'),
+        (1, 3, "assistant", '<tool_call>{"id": "c", "name": "add", "arguments": {"a": 1e999}}</tool_call>'),
+        (1, 4, "tool", '{"tool_call_id": "a", "content": NaN}'),
+        (1, 5, "assistant", "<tool_call>" + "[" * 5000 + "</tool_call>"),
+    ]
+    assert chat.link(table(spark, chats)).count() >= len(chats) - 1
