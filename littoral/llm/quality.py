@@ -231,13 +231,18 @@ def shrinkage(p: float) -> float:
     return p / _chi2_cdf(chi2_quantile(p, D), D + 2)
 
 
+def _short(df: DataFrame, name: str) -> DataFrame:
+    """A table with a row or a few for each group, in few files: Spark sees how short it is, and does not deal vectors out by their group to join it."""
+    return materialize(df.repartition(8), name)
+
+
 def _centres(vectors: DataFrame) -> DataFrame:
     """``n, centre, scale, noise`` of each group: medians, MADs made wider by the noise, and the noise; from bounded sketches."""
     mid = vectors.groupBy(*KEYS).agg(F.count("*").alias("n"), F.array(*(F.percentile_approx(F.col("x")[i], 0.5, 10_000) for i in range(D))).alias("centre"), F.array(*(F.avg(F.col("t")[i]) for i in range(D))).alias("noise"))
-    mid = materialize(mid, "quality-medians")
+    mid = _short(mid, "quality-medians")
     far = vectors.join(mid, KEYS).groupBy(*KEYS).agg(*(F.percentile_approx(F.abs(F.col("x")[i] - F.col("centre")[i]), 0.5, 10_000).alias(f"s{i}") for i in range(D)))
     wide = F.array(*(F.sqrt(F.pow(F.col(f"s{i}") * 1.4826, 2) + F.col("noise")[i]) for i in range(D)))
-    return materialize(mid.join(far, KEYS).select(*KEYS, "n", "centre", wide.alias("scale"), "noise"), "quality-centres")
+    return _short(mid.join(far, KEYS).select(*KEYS, "n", "centre", wide.alias("scale"), "noise"), "quality-centres")
 
 
 def _starts(vectors: DataFrame, centres: DataFrame) -> DataFrame:
@@ -266,22 +271,22 @@ def fit(vectors: DataFrame) -> DataFrame:
     """``g_lang, g_source, mean, precision`` of each group of ``vectors``: g_lang, g_source, x and its noise t."""
     keys = [*KEYS, "start"]
     centres = _centres(vectors)
-    now = materialize(_starts(vectors, centres).withColumn("logdet", F.lit(float("inf"))), "quality-starts")
+    now = _short(_starts(vectors, centres).withColumn("logdet", F.lit(float("inf"))), "quality-starts")
     active = now
     while not active.isEmpty():
-        step = materialize(_concentrated(vectors, active, centres), "quality-step")
+        step = _short(_concentrated(vectors, active, centres), "quality-step")
         # What falls no more is done; the steps lower each determinant, so all are in the end.
         fell = F.col("next.logdet") < F.col("now.logdet") - EPSILON
         met = now.alias("now").join(step.alias("next"), keys, "left")
         new = [F.when(fell, F.col(f"next.{c}")).otherwise(F.col(f"now.{c}")).alias(c) for c in ("mean", "precision", "logdet")]
-        after = materialize(met.select(*keys, *new, F.coalesce(fell, F.lit(False)).alias("fell")), "quality-now")
+        after = _short(met.select(*keys, *new, F.coalesce(fell, F.lit(False)).alias("fell")), "quality-now")
         for table in (step, now):
             discard(table)
         now, active = after, after.filter("fell").drop("fell")
     best = now.groupBy(*KEYS).agg(F.min(F.struct("logdet", "start", "mean", "precision")).alias("b")).select(*KEYS, "b.mean", "b.precision")
     inside = vectors.join(best, KEYS).filter(distance() <= max(chi2_quantile(REWEIGHT, D), chi2_quantile(COVER, D)))
     moments = inside.groupBy(*KEYS).agg(*_moments()).join(centres.select(*KEYS, "noise"), KEYS)
-    out = materialize(_estimated(moments, shrinkage(REWEIGHT), KEYS).drop("logdet"), "quality-fitted")
+    out = _short(_estimated(moments, shrinkage(REWEIGHT), KEYS).drop("logdet"), "quality-fitted")
     for table in (now, centres):
         discard(table)
     return out
@@ -299,7 +304,7 @@ def _grouped(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``scored`` (with s and group columns) with ``x`` and the group that it is fitted in, and the estimates of these."""
     passed = scored.filter(~base_failed())
     sizes = passed.groupBy(*KEYS).agg(F.count("*").alias("n"))
-    sizes = materialize(sizes.select(*KEYS, (F.col("n") < LEAST).alias("small")), "quality-groups")
+    sizes = _short(sizes.select(*KEYS, (F.col("n") < LEAST).alias("small")), "quality-groups")
     small = F.coalesce("small", F.lit(True))
 
     def placed(df: DataFrame) -> DataFrame:
@@ -307,9 +312,10 @@ def _grouped(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
         return own.withColumns({k: F.when(small, F.lit(SMALL)).otherwise(F.col(k)) for k in KEYS}).drop("small").withColumn("x", vector())
 
     vectors = materialize(placed(passed).select(*KEYS, "x", noise().alias("t")), "quality-vectors")
-    enough = vectors.groupBy(*KEYS).agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST).select(*KEYS)
+    enough = _short(vectors.groupBy(*KEYS).agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST).select(*KEYS), "quality-enough")
     fitted = fit(vectors.join(enough, KEYS))
-    discard(vectors)
+    for table in (vectors, enough):
+        discard(table)
     return placed(scored), fitted
 
 
