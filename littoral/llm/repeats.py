@@ -248,13 +248,13 @@ def marks(docs: DataFrame, window: int = WINDOW, run: int = RUN, prefix: int = P
     # All of a row by the same smallest document (of equal ones, the same row).
     distinct = materialize(parts.groupBy("h1", "h2").agg(F.min("doc").alias("doc"), *(F.min_by(c, "doc").alias(c) for c in ("k", "first", "more", "run"))), "repeat-distinct")
     # Runs of several stretches, not all of which first stand in the same document.
-    open_ = distinct.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select("run")
+    open_ = materialize(distinct.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select("run"), "repeat-open")
     asked = distinct.drop("h1", "h2").join(open_, "run").groupBy("doc", "k").agg(F.collect_list(F.struct("run", "first", "more")).alias("found"))
     asked = materialize(asked.join(copies, ["doc", "k"], "left").select("doc", "k", F.coalesce("copies", F.lit(1)).alias("copies"), "found"), "repeat-asked")
     release(spark)
     bits = trees(_stretches(once_each(keyed, asked), window, True).withColumnRenamed("doc", "least"), window, prefix, bucket)
-    discard(asked)
-    discard(copies)
+    for table in (asked, copies, open_):
+        discard(table)
     release(spark)
     # Written, so that a stretch with many copies meets it from plain exchanges, which Spark can split.
     of = materialize(distinct.select("h1", "h2", F.col("doc").alias("least")).join(bits, ["h1", "h2"], "left"), "repeat-of")
