@@ -24,6 +24,7 @@ FUNCTIONS = {
     "st_intersects": ("Intersects", "boolean"),
     "st_within": ("Within", "boolean"),
     "st_takes": ("Takes", "boolean"),
+    "st_takes_each": ("TakesEach", "array<boolean>"),
     "st_area": ("Area", "double"),
     "st_bounds": ("Bounds", "array<double>"),
     "st_box": ("Box", "binary"),
@@ -47,7 +48,7 @@ def build(jar: Path = JAR) -> None:
 
 def register(spark: SparkSession) -> None:
     """Idempotent: a session that has the functions is left alone."""
-    if spark.catalog.functionExists("st_takes"):
+    if spark.catalog.functionExists("st_takes_each"):
         return
     if not JAR.exists():
         build()

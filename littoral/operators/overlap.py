@@ -15,6 +15,9 @@ from ..functions.geo import ENVELOPE, cap_box, clipped_pieces, covered_by
 from ..kernel import st
 from .spatial_join import cell_size, grid_join
 
+#: Bytes of geometry of one host that meet in one row.
+CHUNK = 32 << 20
+
 HOST_ENV = tuple(f"w_{c}" for c in ENVELOPE)
 
 
@@ -33,10 +36,30 @@ def box_takes() -> Column:
     return ~covered_by(ENVELOPE, HOST_ENV)
 
 
+def in_chunks(rows: DataFrame, weight: Column) -> DataFrame:
+    """``rows`` with ``chunk``: rows of a host are dealt by ``aid`` to as many chunks (from 0) as hold about ``CHUNK`` bytes each; -1 where one is enough.
+
+    Only hosts of more than one chunk are joined; there are at most as many of
+    them as the whole has chunks, and Spark broadcasts them if they are few.
+    """
+    large = rows.groupBy("wid").agg(F.sum(weight).alias("bytes")).filter(F.col("bytes") > CHUNK).select("wid", F.ceil(F.col("bytes") / CHUNK).alias("chunks"))
+    dealt = rows.join(large, "wid", "left").withColumn("chunk", F.when(F.col("chunks").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("aid"), F.col("chunks"))))
+    return dealt.drop("chunks")
+
+
 def takes(pairs: DataFrame, water: DataFrame, area: DataFrame) -> DataFrame:
-    """The pairs whose host takes the polygon; geometry is joined to the ids only here."""
-    met = pairs.join(area.select("aid", F.col("geom").alias("a_geom")), "aid").join(water.select("wid", F.col("geom").alias("w_geom")), "wid")
-    return met.filter(st("st_takes", "w_geom", "a_geom")).drop("w_geom")
+    """The pairs whose host takes the polygon, with its ``a_geom``; geometry is joined to the ids only here.
+
+    A host meets its candidates chunk by chunk: its geometry is joined to, and
+    decoded and indexed once for, each chunk and not each pair.
+    """
+    sized = pairs.join(area.select("aid", F.length("geom").alias("size")), "aid")
+    dealt = in_chunks(sized, F.col("size")).drop("size").join(area.select("aid", F.col("geom").alias("a_geom")), "aid")
+    columns = [c for c in dealt.columns if c not in ("wid", "chunk")]
+    chunks = dealt.groupBy("wid", "chunk").agg(F.collect_list(F.struct(*columns)).alias("members"))
+    met = chunks.join(water.select("wid", F.col("geom").alias("w_geom")), "wid")
+    told = met.select("wid", F.explode(F.arrays_zip("members", st("st_takes_each", "w_geom", F.col("members.a_geom")).alias("taken"))).alias("pair"))
+    return told.filter("pair.taken").select(*(F.col(c) if c == "wid" else F.col(f"pair.members.{c}").alias(c) for c in (*pairs.columns, "a_geom")))
 
 
 def first_match(pairs: DataFrame) -> DataFrame:
@@ -75,5 +98,12 @@ def pieces(matched: DataFrame, km: float | None = None) -> DataFrame:
 
 
 def groups(found: DataFrame) -> DataFrame:
-    """``wid, pieces``, in the order of ``aid``. A host's own polygons are one geometry in the end, so they meet in one row."""
-    return found.groupBy("wid").agg(F.transform(F.array_sort(F.collect_list(F.struct("aid", "piece"))), lambda x: x["piece"]).alias("pieces"))
+    """``wid, pieces``, in the order of ``aid``; pieces of a host with several chunks are united within each chunk first.
+
+    So what meets in one row is a chunk of pieces, and then the chunks' unions,
+    without the borders between pieces of a chunk.
+    """
+    ordered = lambda key, value: F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value])
+    chunks = in_chunks(found, F.length("piece")).groupBy("wid", "chunk").agg(ordered("aid", "piece").alias("pieces"))
+    parts = chunks.select("wid", "chunk", F.when(F.col("chunk") >= 0, st("st_union_all", "pieces")).otherwise(F.col("pieces")).alias("pieces"))
+    return parts.groupBy("wid").agg(F.flatten(ordered("chunk", "pieces")).alias("pieces"))

@@ -9,8 +9,9 @@ level: one more than the last level at which any of its candidate hosts takes
 something from an earlier region; a host takes what a region gives it once all of
 that region's candidates for it are decided. Levels are worked off one after the
 other, whatever regions they hold, so the number of rounds is the longest chain
-of regions around one place, not the number of regions. Only hosts that changed
-are carried along, written to the shared folder.
+of regions around one place, not the number of regions. Along the levels go, in
+the shared folder, what is given but not yet due, and changed hosts that a later
+level still asks for; a level reads its own pairs and the hosts in them.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import scratch
-from ..functions.geo import ENVELOPE
 from ..operators import merge, overlap
 
 
@@ -63,29 +63,40 @@ def fold(water: DataFrame, area: DataFrame, km: float | None = None, mode: str =
     spark = water.sparkSession
     km = overlap.check_km(km)
     found = scratch.materialize(overlap.candidates(water, area, cell), "candidates")
-    pairs = scratch.materialize(found.join(levels(found.select("aid", "rid", "wid")), "aid"), "pairs")
-    events = scratch.materialize(pairs.groupBy("wid", "rid").agg(F.max("level").alias("level")), "events")
-    last = pairs.agg(F.max("level")).first()[0] or 0
-    changed = spark.createDataFrame([], "wid bigint, geom binary")
-    given, merged, united = [], [], []
+    pairs = scratch.materialize(found.join(levels(found.select("aid", "rid", "wid")), "aid"), "pairs", ("level",))
+    # A host's last polygon of a region is decided at the level of the event, so each event has pairs of its own level.
+    events = scratch.materialize(pairs.groupBy("wid", "rid").agg(F.max("level").alias("level")), "events", ("level",))
+    lasts = scratch.materialize(events.groupBy("wid").agg(F.max("level").alias("last")), "lasts")
+    last = lasts.agg(F.max("last")).first()[0] or 0
+    carried = spark.createDataFrame([], "wid bigint, geom binary")
+    waiting = spark.createDataFrame([], "aid bigint, rid bigint, wid bigint, piece binary")
+    merged, united = [], []
     for level in range(1, last + 1):
         own = pairs.filter(F.col("level") == level).drop("level")
-        hosts = water.join(pairs.filter(F.col("level") <= level).select("wid").distinct(), "wid", "left_semi").select("wid", "geom")
-        now = hosts.join(changed.select("wid", F.col("geom").alias("new")), "wid", "left").select("wid", F.coalesce("new", "geom").alias("geom"))
+        hosts = water.join(own.select("wid").distinct(), "wid", "left_semi").select("wid", "geom")
+        now = hosts.join(carried.select("wid", F.col("geom").alias("new")), "wid", "left").select("wid", F.coalesce("new", "geom").alias("geom"))
         taken = scratch.materialize(overlap.takes(own, now, area), "taken")
         best = taken.join(overlap.first_match(taken), ["aid", "wid"])
         rid = best.select("aid", "rid")
-        given.append(scratch.materialize(overlap.pieces(best, km).join(rid, "aid").select("aid", "rid", "wid", "piece"), "given"))
-        scratch.discard(taken)
-        due = _union(given).join(events.filter(F.col("level") == level).select("wid", "rid"), ["wid", "rid"])
+        fresh = overlap.pieces(best, km).join(rid, "aid").select("aid", "rid", "wid", "piece")
+        ends = events.filter(F.col("level") == level).select("wid", "rid", F.lit(True).alias("ends"))
+        given = waiting.unionByName(fresh).join(ends, ["wid", "rid"], "left")
+        given = scratch.materialize(given.select("aid", "rid", "wid", "piece", F.coalesce("ends", F.lit(False)).alias("ends")), "given", ("ends",))
+        due = given.filter("ends").drop("ends")
         # At one level a host takes from one region alone.
         of_host = due.groupBy("wid").agg(F.first("rid").alias("rid"))
         unions = scratch.materialize(merge.unions(overlap.groups(due)).join(of_host, "wid"), "united")
-        done = scratch.materialize(merge.merged(unions, now, mode).join(of_host.select("wid", "rid"), "wid"), "merged")
+        done = scratch.materialize(merge.merged(unions, now, mode).join(of_host.select("wid", "rid"), "wid").withColumn("level", F.lit(level)), "merged")
         united.append(unions)
         merged.append(done)
-        before, changed = changed, scratch.materialize(changed.join(done, "wid", "left_anti").unionByName(done.select("wid", "geom")), "changed")
+        asked = lasts.filter(F.col("last") > level).select("wid")
+        open_hosts = carried.join(done, "wid", "left_anti").unionByName(done.select("wid", "geom")).join(asked, "wid", "left_semi")
+        before, carried = carried, scratch.materialize(open_hosts, "carried")
         scratch.discard(before)
+        scratch.discard(taken)
+        previous, waiting = waiting, given.filter("not ends").drop("ends")
+        scratch.discard(previous)
+        waiting._scratch = given._scratch
     counted = area.groupBy(F.col("rid").cast("bigint").alias("ord")).agg(F.count("*").alias("polygons"))
     if not merged:
         none = spark.createDataFrame([], "ord bigint, wid bigint, piece int, geom binary")
@@ -99,7 +110,9 @@ def fold(water: DataFrame, area: DataFrame, km: float | None = None, mode: str =
     logged = united_all.groupBy(order).agg(F.sum(F.size("united")).alias("patches"))
     zeros = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("matched_hosts", "extras", "patches")]
     metrics = counted.join(sums, "ord", "left").join(logged, "ord", "left").select("ord", "polygons", *zeros)
-    return Folded(merge.replaced(water.select("wid", "geom", *ENVELOPE), changed).select("wid", "geom"), extras, patches, metrics)
+    newest = merged_all.groupBy("wid").agg(F.max("level").alias("level"))
+    changed = merged_all.join(newest, ["wid", "level"], "left_semi")
+    return Folded(merge.replaced(water.select("wid", "geom"), changed).select("wid", "geom"), extras, patches, metrics)
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:

@@ -23,11 +23,14 @@ def path(spark: SparkSession, name: str) -> str:
     return f"{root(spark)}/littoral/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here, and lost executors lose nothing."""
+def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends here, and lost executors lose nothing.
+
+    With ``by``, filters on these columns read their own files alone.
+    """
     spark = df.sparkSession
     target = path(spark, name)
-    df.write.parquet(target)
+    df.write.partitionBy(*by).parquet(target) if by else df.write.parquet(target)
     out = spark.read.schema(df.schema).parquet(target)
     out._scratch = target
     return out

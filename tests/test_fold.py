@@ -84,3 +84,30 @@ def test_grid_join_is_the_theta_join(spark, cell):
     rows = a.collect()
     want = sorted((p.aid, q.aid) for p in rows for q in rows if p.x0 <= q.x1 and p.x1 >= q.x0 and p.y0 <= q.y1 and p.y1 >= q.y0)
     assert got == want
+
+
+def test_hosts_of_many_chunks(spark, monkeypatch):
+    """Chunks of a few polygons change neither who takes what nor the area."""
+    import random
+
+    from littoral.operators import merge, overlap
+
+    register(spark)
+    rng = random.Random(9)
+    box = lambda size: (lambda x, y: (x, y, x + rng.randrange(5, size), y + rng.randrange(5, size)))(rng.randrange(60), rng.randrange(60))
+    water = boxes(spark, [(k, *box(60)) for k in range(4)], ["wid"])
+    area = boxes(spark, [(100 + k, 0, *box(25)) for k in range(60)], ["aid", "rid"])
+    pairs = overlap.candidates(water, area, 20)
+
+    def result():
+        taken = overlap.takes(pairs, water, area)
+        found = overlap.pieces(taken.join(overlap.first_match(taken), ["aid", "wid"]))
+        united = merge.unions(overlap.groups(found))
+        areas = {r.wid: round(r.a, 6) for r in merge.patches(united).groupBy("wid").agg(F.sum(st("st_area", "geom")).alias("a")).collect()}
+        return sorted((r.aid, r.wid) for r in taken.collect()), areas
+
+    one = result()
+    plain = pairs.join(area.select("aid", F.col("geom").alias("a")), "aid").join(water.select("wid", F.col("geom").alias("w")), "wid").filter(st("st_takes", "w", "a"))
+    assert one[0] == sorted((r.aid, r.wid) for r in plain.collect())
+    monkeypatch.setattr(overlap, "CHUNK", 300)
+    assert result() == one
