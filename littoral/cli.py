@@ -1,10 +1,11 @@
-"""``python -m littoral.cli merge|plan|serve``."""
+"""``python -m littoral.cli merge|plan|update|diff|serve``."""
 
 from __future__ import annotations
 
 import argparse
 import json
 import logging
+import sys
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from pathlib import Path
 from urllib.parse import parse_qs, urlparse
@@ -12,12 +13,13 @@ from urllib.parse import parse_qs, urlparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import scratch
 from .functions.geo import ENVELOPE
 from .kernel import register
 from .operators import merge, overlap, qa
 from .plans import fold as folding
 from .plans import refresh
-from .sources import ingest, regions, shapefile
+from .sources import ingest, regions, shapefile, update
 
 LOG = logging.getLogger(__name__)
 
@@ -42,10 +44,30 @@ def parser() -> argparse.ArgumentParser:
     p = commands.add_parser("plan", help="what would be fetched again")
     p.add_argument("manifest")
     p.add_argument("root")
-    p.add_argument("--areas", nargs="*")
-    p.add_argument("--force", action="store_true")
-    p.add_argument("--min-cache-age-days", type=float, default=0.0)
-    p.add_argument("--max-retries", type=int, default=ingest.ATTEMPTS)
+    u = commands.add_parser("update", help="fetch and extract what has changed, then merge all selected regions")
+    u.add_argument("root")
+    u.add_argument("-o", "--output")
+    u.add_argument("--jobs", type=int, default=4)
+    u.add_argument("--extract-jobs", type=int, default=2)
+    u.add_argument("--check-only", action="store_true")
+    u.add_argument("--no-download", action="store_true")
+    u.add_argument("--max-inland-km", type=kilometres, default=0.0)
+    u.add_argument("--patches-output")
+    u.add_argument("--no-patches", action="store_true")
+    u.add_argument("--mode", choices=merge.MODES, default="contract")
+    for c in (p, u):
+        c.add_argument("--areas", nargs="*", choices=[r for r, _ in regions.REGIONS])
+        c.add_argument("--force", action="store_true")
+        c.add_argument("--min-cache-age-days", type=float, default=0.0)
+        c.add_argument("--max-retries", type=int, default=ingest.ATTEMPTS)
+    d = commands.add_parser("diff", help="what a revised layer has gained, in clusters")
+    d.add_argument("--reference", required=True)
+    d.add_argument("--revised", required=True)
+    d.add_argument("--output", required=True)
+    d.add_argument("--min-delta-km2", type=float, default=qa.LEAST_KM2)
+    d.add_argument("--cluster-buffer-km", type=kilometres, default=qa.BUFFER_KM)
+    d.add_argument("--bbox", type=float, nargs=4)
+    d.add_argument("--most", type=int, default=0)
     s = commands.add_parser("serve", help="viewports as GeoJSON over HTTP")
     s.add_argument("--patches", required=True)
     s.add_argument("--coastline")
@@ -84,7 +106,8 @@ def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
     save(done.output(), args.output or default)
     if args.patches_output:
         save(merge.append_fids(done.patches, ["ord", "wid", "piece"], 0).select("fid", "geom"), args.patches_output)
-    done.metrics.orderBy("ord").show(1000, False)
+    for r in done.metrics.orderBy("ord").collect():  # as many rows as regions were named
+        print(*r, sep="\t")
 
 
 def states(spark: SparkSession, args: argparse.Namespace, head=ingest.remote_metadata) -> DataFrame:
@@ -97,9 +120,46 @@ def states(spark: SparkSession, args: argparse.Namespace, head=ingest.remote_met
         except OSError as e:
             LOG.warning("%s: %s", r.url, e)
             now, ok = {}, False
-        then = manifest.get(r.region, {})
-        rows.append((r.region, args.force, ok, now.get("etag"), now.get("last_modified"), then.get("etag"), then.get("last_modified"), Path(r.shp).exists(), Path(r.pbf).exists(), ingest.age_days(r.shp), args.min_cache_age_days))
-    return spark.createDataFrame(rows, "region string, force boolean, head_ok boolean, r_etag string, r_lm string, m_etag string, m_lm string, have_shp boolean, have_pbf boolean, shp_age_days double, min_age double")
+        then = manifest.get(r.key, {})
+        rows.append((r.key, r.url, r.pbf, r.shp, args.force, ok, now.get("etag"), now.get("last_modified"), then.get("etag"), then.get("last_modified"), Path(r.shp).exists(), Path(r.pbf).exists(), ingest.age_days(r.shp), args.min_cache_age_days))
+    return spark.createDataFrame(rows, "key string, url string, pbf string, shp string, force boolean, head_ok boolean, r_etag string, r_lm string, m_etag string, m_lm string, have_shp boolean, have_pbf boolean, shp_age_days double, min_age double")
+
+
+def run_update(spark: SparkSession, args: argparse.Namespace, head=ingest.remote_metadata, fetch=ingest.download, extractor=update.extract) -> None:
+    """Fetched, extracted and recorded first, then all selected regions merged anew: a union cannot be taken back."""
+    root = Path(args.root)
+    path, selected = root / "manifest.json", regions.select_paths(spark, args.areas, args.root).collect()
+    if args.no_download:
+        gone = [str(p) for p in (update.base_shp(root), *(Path(r.shp) for r in selected)) if not p.exists()]
+        if gone:
+            sys.exit("missing: " + ", ".join(gone))
+    else:
+        args.manifest, args.max_retries = str(path), max(1, args.max_retries)
+        planned = refresh.plan(states(spark, args, head)).collect()  # as many rows as regions
+        if args.check_only:
+            print(*(r.key for r in planned if r.needs_refresh), sep="\n")
+            return
+        if extractor is update.extract and update.missing_tools():
+            sys.exit("not installed: " + ", ".join(update.missing_tools()))
+        manifest = ingest.load_manifest(path)
+        update.apply(planned, manifest, path, lambda url, to: fetch(url, to, args.max_retries), extractor, args.jobs, args.extract_jobs)
+        try:
+            update.refresh_base(root, manifest, args.force, lambda url: head(url, args.max_retries), lambda url, to: fetch(url, to, args.max_retries))
+        finally:
+            ingest.save_manifest(path, manifest)
+    args.water, args.regions = str(update.base_shp(root)), [r.shp for r in selected if Path(r.shp).exists()]
+    args.output = args.output or str(root / "corrected-water-polygons.shp")
+    args.patches_output = None if args.no_patches else args.patches_output or str(root / "patches.shp")
+    run_merge(spark, args)
+
+
+def run_diff(spark: SparkSession, args: argparse.Namespace) -> None:
+    """``clusters.csv`` in the output folder: centre, area and rows of each cluster, largest first."""
+    register(spark)
+    found = qa.deltas(load(spark, args.revised), load(spark, args.reference), args.bbox)
+    found = scratch.materialize(found, "deltas")
+    out = qa.atlas(found, qa.clusters(found, *qa.widened(args.cluster_buffer_km)), args.min_delta_km2, args.most or None)
+    out.write.mode("overwrite").csv(f"{args.output.rstrip('/')}/clusters.csv", header=True)
 
 
 def handler(layers: dict[str, DataFrame], most: int, divisor: float) -> type[BaseHTTPRequestHandler]:
@@ -141,7 +201,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "merge":
         run_merge(spark, args)
     elif args.command == "plan":
-        refresh.plan(states(spark, args)).select("region", "rule", "needs_refresh").show(1000, False)
+        for r in refresh.plan(states(spark, args)).collect():
+            print(r.key, r.rule, r.needs_refresh, sep="\t")
+    elif args.command == "update":
+        run_update(spark, args)
+    elif args.command == "diff":
+        run_diff(spark, args)
     else:
         register(spark)
         layers = {k: load(spark, p).cache() for k, p in (("patches", args.patches), ("coastline", args.coastline)) if p}

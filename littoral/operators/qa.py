@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import scratch
-from ..functions.geo import ENVELOPE, KM_PER_DEGREE, LEAST_COS, feature_json, meets
+from ..functions.geo import ENVELOPE, KM_PER_DEGREE, LEAST_COS, envelope, feature_json
 from ..kernel import st
+from . import merge
 from .spatial_join import cell_size, grid_join
 
 MOST_FEATURES = 5000
@@ -66,6 +67,26 @@ def added(revised: DataFrame, reference: DataFrame) -> DataFrame:
     return revised.join(reference.select("fid"), "fid", "left_anti")
 
 
+def deltas(revised: DataFrame, reference: DataFrame, box: Sequence[float] | None = None) -> DataFrame:
+    """``did, fid, x0..y1, area_km2`` of every polygon that rows gained and of every new row, numbered by row and place.
+
+    With a box, only revised rows whose envelope meets it are paired; a
+    reference row counts wherever it lies, so that moved rows are not new ones.
+    """
+    if box is not None:
+        x0, y0, x1, y1 = box
+        revised = revised.filter((F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0))
+    gained = modified(revised, reference).unionByName(added(revised, reference).select("fid", "geom"))
+    sized = gained.select("fid", *envelope("geom"), st("st_area", "geom").alias("area"))
+    return merge.append_fids(sized.withColumnRenamed("fid", "of"), ["of", *ENVELOPE], 0).select(F.col("fid").alias("did"), F.col("of").alias("fid"), *ENVELOPE, km2().alias("area_km2"))
+
+
+def widened(km: float = BUFFER_KM):
+    """Degrees east and north by which an envelope grows, so that two that lie within ``km`` meet: half of it each."""
+    north = km / 2 / KM_PER_DEGREE
+    return F.lit(north) / F.greatest(F.lit(LEAST_COS), F.cos(F.radians((F.col("y0") + F.col("y1")) / 2))), F.lit(north)
+
+
 def km2(area: str = "area", y0: str = "y0", y1: str = "y1"):
     """Square degrees as square kilometres at the middle latitude."""
     return F.col(area) * KM_PER_DEGREE**2 * F.greatest(F.lit(LEAST_COS), F.cos(F.radians((F.col(y0) + F.col(y1)) / 2)))

@@ -69,10 +69,11 @@ def backoff(attempt: Column) -> Column:
 
 
 def region_paths(regions: DataFrame, base_url: str, root: str) -> DataFrame:
-    """``url, pbf, shp`` of each region, by ``region`` and its parent ``sub_region`` (may be empty)."""
+    """``key, url, pbf, shp`` of each region, by ``region`` and its parent ``sub_region`` (may be empty)."""
     parent = F.when(F.coalesce("sub_region", F.lit("")) != "", F.col("sub_region"))
     return regions.select(
         "*",
+        F.concat_ws("/", parent, "region").alias("key"),
         F.concat_ws("/", F.lit(base_url), parent, F.concat("region", F.lit("-latest.osm.pbf"))).alias("url"),
         F.concat_ws("/", F.lit(root), F.lit("pbf"), parent, F.concat("region", F.lit(".osm.pbf"))).alias("pbf"),
         F.concat_ws("/", F.lit(root), F.lit("shapefiles"), parent, "region", F.lit("water.shp")).alias("shp"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
+from . import scratch
 from .functions import geo, osm
 from .functions.geo import ENVELOPE
 from .kernel import register, st
@@ -18,6 +19,7 @@ from .plans import refresh
 #: Grid cells of the fixtures: about the 90th percentile of their sides.
 CELL = 320
 CAP_KM, CLIP_BY, VIEW, MOST, DIVISOR, WIDEN = 20, 50, (-1000, -500, 1000, 500), 50, 4000, 60
+WINDOW, KM_APART = (-30.005, -15.005, 30.005, 15.005), 60.3
 SELECTED = ("NATION_2", "NATION_3", "NATION_7", "NATION_11", "NATION_12", "NATION_23")
 
 
@@ -266,9 +268,20 @@ def diff_atlas(spark, d):
     return out.select("cluster", F.col("added_km2").cast("bigint").alias("added"), "fids")
 
 
+def diff_atlas_km(spark, d):
+    """Clusters of what a revised layer has gained within a window, by kilometres; the layers are in degrees."""
+    register(spark)
+    degrees = lambda df: fx.with_geom(df.select("fid", *((F.col(c) / 100.0).alias(c) for c in ENVELOPE)))
+    base = fx.water(spark, d).withColumnRenamed("wid", "fid")
+    grown = base.withColumn("x1", F.col("x1") + F.when(F.col("fid") % 10 == 0, 30).otherwise(0))
+    found = scratch.materialize(qa.deltas(degrees(grown), degrees(base), WINDOW), "deltas")
+    out = qa.atlas(found, qa.clusters(found, *qa.widened(KM_APART)))
+    return out.select("fids", F.round(F.col("added_km2") * 1000).cast("bigint").alias("added"), F.round(F.col("center_x") * 1000).cast("bigint").alias("milli_x"), F.round(F.col("center_y") * 1000).cast("bigint").alias("milli_y"))
+
+
 NAMES = (
     "scan_water_bounds filter_subtype filter_osm_tags water_features select_regions_ordered envelope_candidates overlap_pairs exact_pairs first_match unmatched_areas overlap_groups cap_box cap_clip host_union_area delta_area append_fids patch_area "
-    "fold_metrics patches merged_water fold_one_region fold_one_region_patches fold_one_region_output manifest_match refresh_plan refresh_counts missing_inputs backoff_schedule viewport simplify_tolerance feature_color geojson_features diff_modified diff_added diff_clusters diff_atlas"
+    "fold_metrics patches merged_water fold_one_region fold_one_region_patches fold_one_region_output manifest_match refresh_plan refresh_counts missing_inputs backoff_schedule viewport simplify_tolerance feature_color geojson_features diff_modified diff_added diff_clusters diff_atlas diff_atlas_km"
 ).split()
 
 
@@ -326,8 +339,16 @@ def oracle_sql() -> dict[str, str]:
     clusters = f"""with recursive {_W}, d as (select wid did, x1 x0, y0, x1+30 x1, y1 from water where wid%10 = 0),
  e as (select a.did, b.did oid from d a join d b on a.x0-{WIDEN} <= b.x1+{WIDEN} and a.x1+{WIDEN} >= b.x0-{WIDEN} and a.y0-{WIDEN} <= b.y1+{WIDEN} and a.y1+{WIDEN} >= b.y0-{WIDEN}),
  reach as (select did, did oid from d union select r.did, e.oid from reach r join e on e.did = r.oid),
+ label as (select did, min(oid) cluster from reach group by did)"""
+    wide = f"({KM_APART}/2.0/111.0)"
+    km = f"""with recursive {_W}, d as (select wid did, x1/100.0 x0, y0/100.0 y0, (x1+30)/100.0 x1, y1/100.0 y1, greatest(0.01, cos(radians((y0+y1)/200.0))) c from water
+  where wid%10 = 0 and x0/100.0 <= {WINDOW[2]} and (x1+30)/100.0 >= {WINDOW[0]} and y0/100.0 <= {WINDOW[3]} and y1/100.0 >= {WINDOW[1]}),
+ e as (select a.did, b.did oid from d a join d b on a.x0-{wide}/a.c <= b.x1+{wide}/b.c and a.x1+{wide}/a.c >= b.x0-{wide}/b.c and a.y0-{wide} <= b.y1+{wide} and a.y1+{wide} >= b.y0-{wide}),
+ reach as (select did, did oid from d union select r.did, e.oid from reach r join e on e.did = r.oid),
  label as (select did, min(oid) cluster from reach group by did)"""
     return {
+        "diff_atlas_km": f"""{km} select array_to_string(list_sort(list(did)), ' ') fids, cast(round(sum((x1-x0)*(y1-y0)*111.0*111.0*c)*1000) as bigint) added,
+ cast(round((min(x0)+max(x1))/2*1000) as bigint) milli_x, cast(round((min(y0)+max(y1))/2*1000) as bigint) milli_y from d join label using (did) group by cluster having sum((x1-x0)*(y1-y0)*111.0*111.0*c) >= {qa.LEAST_KM2}""",
         "scan_water_bounds": f"with {_W} select min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 from water",
         "filter_subtype": f"with {_O} select * from features where {_IS_AREA}",
         "filter_osm_tags": f"with {_O} select * from features where {_IS_WATER}",
