@@ -332,7 +332,10 @@ def remove(docs: DataFrame, length: int = LENGTH, short: int = SHORT, gram: int
 
 
 def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
-    """``docs`` with its columns, texts without the repeats: a character goes if all its bytes do. ``n_chars``, where there, follows."""
+    """``docs`` with its columns, texts without the repeats: a character goes if all its bytes do. ``n_chars``, where there, follows.
+
+    Texts are cut in the JVM, row by row: none goes to a Python worker.
+    """
     found = marks(docs, (length,), gram, shard)
     release(docs.sparkSession)
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("own")
@@ -340,20 +343,7 @@ def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int =
     keyed = docs.select(own, text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), text_key("text").alias("k"))
     met = keyed.join(found, ["doc", "k"], "left")
 
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        out = []
-        for t, m in zip(texts.to_pylist(), lists.to_pylist()):
-            if m:
-                data = np.frombuffer(t.encode(), np.uint8)
-                mask, _ = removed(len(data), m, 0, length)
-                char = np.cumsum((data & 0xC0) != 0x80) - 1
-                whole = np.ones(int(char[-1]) + 1, bool)
-                np.logical_and.at(whole, char, mask)
-                t = data[~whole[char]].tobytes().decode()
-            out.append(t)
-        return pa.array(out, pa.string())
-
-    done = met.select("own", F.when(F.col("marks").isNotNull(), cut.asNondeterministic()("text", "marks")).otherwise(F.col("text")).alias("text"))
+    cut = F.call_function(register(docs.sparkSession, "littoral_repeat_cut", "littoral.RepeatCut", "binary"), text.cast("binary"), F.col("marks"), F.lit(length))
+    done = met.select("own", F.when(F.col("marks").isNotNull(), cut.cast("string")).otherwise(text).alias("text"))
     n_chars = F.length("text").cast("long")
     return done.select(*(F.col("text") if c == "text" else F.when(F.col("text").isNotNull(), n_chars).alias(c) if c == "n_chars" else F.col(f"own.`{c}`") for c in docs.columns))

@@ -62,6 +62,31 @@ def test_clean_keeps_columns_and_characters(spark):
     assert all(r.n_chars == len(r.text) for r in got.collect() if r.text is not None)
 
 
+def test_clean_cuts_whole_characters(spark):
+    rng = random.Random(8)
+    shared = "".join(rng.choices("aé漢😀", k=60))
+    # Behind and before the shared string, characters that begin or end with the same bytes.
+    rows = [(k, a + shared[k % 3 :] + b) for k, (a, b) in enumerate([("", ""), ("é", "漢x"), ("ĩ", "漣"), ("x😀", "😁"), ("y🐀", "é"), (prose(5, 40), prose(6, 40)), (shared, shared)])]
+    rows += [(20, None), (21, ""), (22, "漢")]
+    data = [(t or "").encode() for _, t in rows]
+    for length in (7, 20, 31):
+        seen = Counter(b[i : i + length] for b in data for i in range(len(b) - length + 1))
+        want = {}
+        for (d, t), b in zip(rows, data):
+            gone = [False] * len(b)
+            for i in range(len(b) - length + 1):
+                if seen[b[i : i + length]] > 1:
+                    gone[i : i + length] = [True] * length
+            at, kept = 0, ""
+            for c in t or "":
+                n = len(c.encode())
+                kept += "" if all(gone[at : at + n]) else c
+                at += n
+            want[d] = None if t is None else kept
+        got = {r.doc_id: r.text for r in suffixes.clean(docs(spark, rows), length, 4, 120).collect()}
+        assert got == want and sum(map(len, data)) > sum(len((t or "").encode()) for t in got.values())
+
+
 def test_empty(spark):
     assert suffixes.remove(docs(spark, [])).collect() == []
     assert suffixes.clean(docs(spark, [])).collect() == []
