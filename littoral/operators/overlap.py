@@ -8,16 +8,22 @@ left out of the result; ``unmatched`` shows them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..functions.geo import ENVELOPE, cap_box, clipped_pieces, covered_by
 from ..kernel import st
-from .spatial_join import cell_size, grid_join
+from .spatial_join import cell_size, expected, extent, grid_join
 
 #: Bytes of geometry of one host that meet in one row.
 CHUNK = 32 << 20
 
+#: Up to so many expected pairs, all hosts are looked at in one round; else the first round has about so many candidates a polygon, and each further one has so many times the hosts.
+FEW, NEAR, GROW = 20_000_000, 8, 8
+
 HOST_ENV = tuple(f"w_{c}" for c in ENVELOPE)
 
 
@@ -25,10 +31,10 @@ def _hosts(water: DataFrame) -> DataFrame:
     return water.select("wid", *(F.col(c).alias(f"w_{c}") for c in ENVELOPE))
 
 
-def candidates(water: DataFrame, area: DataFrame, cell: float | None = None) -> DataFrame:
-    """``aid, rid, x0..y1, wid, w_x0..w_y1`` of each polygon and host whose envelopes meet."""
+def candidates(water: DataFrame, area: DataFrame, cell: float | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``aid, rid, x0..y1, wid, w_x0..w_y1`` of each polygon and host whose envelopes meet (and columns of the polygon to ``keep``)."""
     size = cell or max(cell_size(water), cell_size(area))
-    return grid_join(area.select("aid", "rid", *ENVELOPE), _hosts(water), size, ENVELOPE, HOST_ENV)
+    return grid_join(area.select("aid", "rid", *ENVELOPE, *keep), _hosts(water), size, ENVELOPE, HOST_ENV)
 
 
 def box_takes() -> Column:
@@ -67,6 +73,38 @@ def first_match(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("aid").agg(F.min("wid").alias("wid"))
 
 
+def _parts(water: DataFrame, area: DataFrame) -> list[DataFrame]:
+    """Hosts by ranges of their ids upwards, each larger than the one before; all at once where few pairs are expected."""
+    of = extent(area)
+    pairs = expected(of, extent(water))
+    share, shares = NEAR * of.n / max(pairs, 1.0), []
+    while pairs > FEW and share < 1 / 2:
+        shares.append(share)
+        share *= GROW
+    cuts = water.agg(F.percentile_approx("wid", shares)).first()[0] if shares else []
+    wid = F.col("wid")
+    above = [F.lit(True), *(F.coalesce(wid > c, F.lit(True)) for c in cuts)]
+    return [water.filter(lo & hi) for lo, hi in zip(above, [*(wid <= c for c in cuts), F.lit(True)])]
+
+
+def first_taken(water: DataFrame, area: DataFrame, cell: float | None, taken: Callable[[DataFrame], DataFrame], keep: tuple[str, ...] = ()) -> DataFrame:
+    """``aid, wid``: ``first_match`` of the candidates that ``taken`` leaves, without forming all of them.
+
+    Hosts are looked at by their ids upwards, in a few rounds: a polygon that has
+    its host meets no later one. Only polygons that no host takes meet all.
+    """
+    cell = cell or max(cell_size(water), cell_size(area))
+    parts = _parts(water, area)
+    if len(parts) == 1:
+        return first_match(taken(candidates(water, area, cell, keep)))
+    found = None
+    for part in parts:
+        left = area if found is None else unmatched(area, found)
+        own = scratch.materialize(first_match(taken(candidates(part, left, cell, keep))), "first")
+        found = own if found is None else found.unionByName(own)
+    return first_match(found)
+
+
 def unmatched(area: DataFrame, matched: DataFrame) -> DataFrame:
     return area.join(matched.select("aid"), "aid", "left_anti")
 
