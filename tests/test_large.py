@@ -35,7 +35,7 @@ def formed(monkeypatch):
     return counts
 
 
-ONE_HOST_EACH = ["first_match"]
+ONE_HOST_EACH = ["first_match", "append_fids"]
 
 
 @pytest.mark.parametrize("name", ONE_HOST_EACH)
