@@ -35,7 +35,7 @@ def formed(monkeypatch):
     return counts
 
 
-ONE_HOST_EACH = ["first_match", "append_fids", "overlap_groups", "cap_clip", "host_union_area", "unmatched_areas", "delta_area"]
+ONE_HOST_EACH = ["first_match", "append_fids", "overlap_groups", "cap_clip", "host_union_area", "unmatched_areas", "delta_area", "patch_area"]
 
 
 @pytest.mark.parametrize("name", ONE_HOST_EACH)
