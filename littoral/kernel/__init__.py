@@ -28,6 +28,7 @@ FUNCTIONS = {
     "st_area": ("Area", "double"),
     "st_bounds": ("Bounds", "array<double>"),
     "st_box": ("Box", "binary"),
+    "st_is_box": ("IsBox", "boolean"),
     "st_clip": ("Clip", "array<binary>"),
     "st_intersection": ("Intersection", "array<binary>"),
     "st_union": ("Union", "array<binary>"),
@@ -48,7 +49,7 @@ def build(jar: Path = JAR) -> None:
 
 def register(spark: SparkSession) -> None:
     """Idempotent: a session that has the functions is left alone."""
-    if spark.catalog.functionExists("st_takes_each"):
+    if spark.catalog.functionExists("st_is_box"):
         return
     if not JAR.exists():
         build()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import scratch
 from ..functions.geo import ENVELOPE, cap_box, clipped_pieces, covered_by
 from ..kernel import st
-from .spatial_join import cell_size, expected, extent, grid_join
+from .spatial_join import Extent, cell_size, expected, extent, grid_join
 
 #: Bytes of geometry of one host that meet in one row.
 CHUNK = 32 << 20
@@ -31,10 +31,10 @@ def _hosts(water: DataFrame) -> DataFrame:
     return water.select("wid", *(F.col(c).alias(f"w_{c}") for c in ENVELOPE))
 
 
-def candidates(water: DataFrame, area: DataFrame, cell: float | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def candidates(water: DataFrame, area: DataFrame, cell: float | None = None, keep: tuple[str, ...] = (), extents: tuple[Extent, Extent] | None = None) -> DataFrame:
     """``aid, rid, x0..y1, wid, w_x0..w_y1`` of each polygon and host whose envelopes meet (and columns of the polygon to ``keep``)."""
     size = cell or max(cell_size(water), cell_size(area))
-    return grid_join(area.select("aid", "rid", *ENVELOPE, *keep), _hosts(water), size, ENVELOPE, HOST_ENV)
+    return grid_join(area.select("aid", "rid", *ENVELOPE, *keep), _hosts(water), size, ENVELOPE, HOST_ENV, **({"extents": extents} if extents else {}))
 
 
 def box_takes() -> Column:
@@ -73,10 +73,9 @@ def first_match(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("aid").agg(F.min("wid").alias("wid"))
 
 
-def _parts(water: DataFrame, area: DataFrame) -> list[DataFrame]:
+def _parts(water: DataFrame, of: Extent, of_water: Extent) -> list[DataFrame]:
     """Hosts by ranges of their ids upwards, each larger than the one before; all at once where few pairs are expected."""
-    of = extent(area)
-    pairs = expected(of, extent(water))
+    pairs = expected(of, of_water)
     share, shares = NEAR * of.n / max(pairs, 1.0), []
     while pairs > FEW and share < 1 / 2:
         shares.append(share)
@@ -87,16 +86,17 @@ def _parts(water: DataFrame, area: DataFrame) -> list[DataFrame]:
     return [water.filter(lo & hi) for lo, hi in zip(above, [*(wid <= c for c in cuts), F.lit(True)])]
 
 
-def first_taken(water: DataFrame, area: DataFrame, cell: float | None, taken: Callable[[DataFrame], DataFrame], keep: tuple[str, ...] = ()) -> DataFrame:
+def first_taken(water: DataFrame, area: DataFrame, cell: float | None, taken: Callable[[DataFrame], DataFrame], keep: tuple[str, ...] = (), extents: tuple[Extent, Extent] | None = None) -> DataFrame:
     """``aid, wid``: ``first_match`` of the candidates that ``taken`` leaves, without forming all of them.
 
     Hosts are looked at by their ids upwards, in a few rounds: a polygon that has
     its host meets no later one. Only polygons that no host takes meet all.
     """
     cell = cell or max(cell_size(water), cell_size(area))
-    parts = _parts(water, area)
+    extents = extents or (extent(area), extent(water))
+    parts = _parts(water, *extents)
     if len(parts) == 1:
-        return first_match(taken(candidates(water, area, cell, keep)))
+        return first_match(taken(candidates(water, area, cell, keep, extents)))
     found = None
     for part in parts:
         left = area if found is None else unmatched(area, found)
@@ -105,6 +105,47 @@ def first_taken(water: DataFrame, area: DataFrame, cell: float | None, taken: Ca
     return first_match(found)
 
 
+def boxed(df: DataFrame) -> DataFrame:
+    """``df`` with ``box``: its geometry is its envelope itself, so that comparisons are the exact predicates among such rows."""
+    return df.withColumn("box", F.coalesce(st("st_is_box", "geom", *(F.col(c).cast("double") for c in ENVELOPE)), F.lit(False)))
+
+
+def exact_pairs(water: DataFrame, area: DataFrame, cell: float | None = None) -> DataFrame:
+    """``aid, rid, x0..y1, wid, w_x0..w_y1`` where the host takes the polygon. Both have ``geom`` and ``box``; geometry moves only for pairs that are not two rectangles."""
+    cell = cell or max(cell_size(water), cell_size(area))
+    out = candidates(water.filter("box"), area.filter("box"), cell).filter(box_takes())
+    for hosts, polygons in ((water.filter("not box"), area), (water.filter("box"), area.filter("not box"))):
+        if not hosts.isEmpty() and not polygons.isEmpty():
+            pairs = scratch.materialize(candidates(hosts, polygons, cell), "candidates")
+            out = out.unionByName(takes(pairs, hosts, polygons).select(*out.columns))
+    return out
+
+
+def first_exact(water: DataFrame, area: DataFrame, cell: float | None = None, extents: tuple[Extent, Extent] | None = None) -> DataFrame:
+    """``aid, wid``: the first host that takes each polygon, by the exact predicates. Both sides as in ``exact_pairs``; envelopes of ``water`` decide who is a candidate.
+
+    The first among rectangles comes first; then other pairs are looked at that could come before it.
+    """
+    cell = cell or max(cell_size(water), cell_size(area))
+    of_area, of_water = extents or (extent(area), extent(water))
+    sure = first_taken(water.filter("box"), area.filter("box"), cell, lambda pairs: pairs.filter(box_takes()), (), (of_area, of_water))
+    sure = scratch.materialize(sure, "sure")
+    out = sure
+    for hosts, polygons in ((water.filter("not box"), area), (water.filter("box"), area.filter("not box"))):
+        of = extent(hosts)
+        if of.n and not polygons.isEmpty():
+            known = polygons.join(sure.select("aid", F.col("wid").alias("below")), "aid", "left")
+
+            def taken(pairs, hosts=hosts, polygons=polygons):
+                pairs = scratch.materialize(pairs.filter("below is null or wid < below"), "open")
+                return takes(pairs, hosts, polygons)
+
+            out = out.unionByName(first_taken(hosts, known, cell, taken, ("below",), (of_area, of)))
+        if area.filter("not box").isEmpty():
+            break
+    return out if out is sure else scratch.materialize(first_match(out), "first")
+
+
 def unmatched(area: DataFrame, matched: DataFrame) -> DataFrame:
     return area.join(matched.select("aid"), "aid", "left_anti")
 

@@ -88,14 +88,15 @@ def _finer(a: Extent, b: Extent, cell: float) -> float:
     return min(sizes, key=cost)
 
 
-def grid_join(left: DataFrame, right: DataFrame, cell: float, left_env: Sequence[str] = ENVELOPE, right_env: Sequence[str] = ENVELOPE) -> DataFrame:
+def grid_join(left: DataFrame, right: DataFrame, cell: float, left_env: Sequence[str] = ENVELOPE, right_env: Sequence[str] = ENVELOPE, extents: tuple[Extent, Extent] | None = None) -> DataFrame:
     """Columns of both sides (names must differ) for each pair of envelopes that meet; borders count.
 
-    Keep geometry out of both sides: ids and envelopes are what should move.
+    Keep geometry out of both sides: ids and envelopes are what should move. ``extents``
+    of tables that the sides are part of, where they are known, save the looking.
     """
     if not cell > 0:
         raise ValueError("the cell has a positive size")
-    of_a, of_b = extent(left, left_env), extent(right, right_env)
+    of_a, of_b = extents or (extent(left, left_env), extent(right, right_env))
     cell = _finer(of_a, of_b, cell)
     a = left.withColumn("_la", _level(left_env, cell))
     b = right.withColumn("_lb", _level(right_env, cell))

@@ -64,8 +64,8 @@ def overlap_pairs(spark, d):
 def exact_pairs(spark, d):
     """The same pairs by the exact predicates over geometry."""
     register(spark)
-    water, area = fx.with_geom(fx.water(spark, d)), fx.with_geom(fx.area(spark, d))
-    return overlap.takes(_candidates(spark, d), water, area).select("aid", "rid", "wid")
+    water, area = (overlap.boxed(fx.with_geom(side(spark, d))) for side in (fx.water, fx.area))
+    return overlap.exact_pairs(water, area, CELL).select("aid", "rid", "wid")
 
 
 def _matches(spark, d):
