@@ -12,17 +12,24 @@ other, whatever regions they hold, so the number of rounds is the longest chain
 of regions around one place, not the number of regions. Along the levels go, in
 the shared folder, what is given but not yet due, and changed hosts that a later
 level still asks for; a level reads its own pairs and the hosts in them.
+
+Where a host meets about as many polygons as half the regions or more, levels
+would be nearly as many as regions, and the pairs more than need be formed. There
+regions follow one by one, and each finds the first host of its polygons without
+all candidates (``overlap.first_exact``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import scratch
+from ..functions.geo import ENVELOPE
 from ..operators import merge, overlap
+from ..operators.spatial_join import Extent, expected, extent
 
 
 @dataclass
@@ -62,6 +69,10 @@ def fold(water: DataFrame, area: DataFrame, km: float | None = None, mode: str =
     """``water``: wid, geom, x0..y1; ``area``: aid, rid, geom, x0..y1. Regions follow in the order of ``rid`` (a number)."""
     spark = water.sparkSession
     km = overlap.check_km(km)
+    of_area, of_water = extent(area), extent(water)
+    regions = area.agg(F.count_distinct("rid")).first()[0]
+    if regions == 1 or 0 < regions * of_water.n <= 2 * expected(of_area, of_water):
+        return _by_region(water, area, km, mode, cell, (of_area, of_water))
     found = scratch.materialize(overlap.candidates(water, area, cell), "candidates")
     pairs = scratch.materialize(found.join(levels(found.select("aid", "rid", "wid")), "aid"), "pairs", ("level",))
     # A host's last polygon of a region is decided at the level of the event, so each event has pairs of its own level.
@@ -97,6 +108,40 @@ def fold(water: DataFrame, area: DataFrame, km: float | None = None, mode: str =
         previous, waiting = waiting, given.filter("not ends").drop("ends")
         scratch.discard(previous)
         waiting._scratch = given._scratch
+    return _folded(water, area, merged, united)
+
+
+def _by_region(water: DataFrame, area: DataFrame, km: float | None, mode: str, cell: float | None, extents: tuple[Extent, Extent]) -> Folded:
+    """The fold with a round for each region."""
+    spark = water.sparkSession
+    cell = cell or max(overlap.cell_size(water), overlap.cell_size(area))
+    tasks = spark.sparkContext.defaultParallelism
+    hosts = scratch.materialize(overlap.boxed(water.select("wid", *ENVELOPE, "geom")).repartition(tasks, "wid"), "hosts")
+    areas = scratch.materialize(overlap.boxed(area.select("aid", "rid", *ENVELOPE, "geom")).filter(F.col("rid").isNotNull()), "areas", ("rid",))
+    rids = sorted(r[0] for r in areas.select("rid").distinct().collect())  # no more than twice the polygons that a host meets
+    of_area = replace(extents[0], n=max(1, extents[0].n // max(1, len(rids))))  # of one region about
+    carried = spark.createDataFrame([], "wid bigint, geom binary")
+    merged, united = [], []
+    for level, rid in enumerate(rids, 1):
+        own = areas.filter(F.col("rid") == rid)
+        changed = carried.select("wid", F.col("geom").alias("new"))
+        now = hosts.join(changed, "wid", "left").select("wid", *ENVELOPE, F.coalesce("new", "geom").alias("geom"), (F.col("box") & F.col("new").isNull()).alias("box"))
+        best = overlap.first_exact(now, own, cell, (of_area, extents[1]))
+        met = best.join(own.select("aid", *ENVELOPE, F.col("geom").alias("a_geom")), "aid")
+        if km is not None:
+            met = met.join(hosts.select("wid", *(F.col(c).alias(f"w_{c}") for c in ENVELOPE)), "wid")
+        unions = scratch.materialize(merge.unions(overlap.groups(overlap.pieces(met, km))).withColumn("rid", F.lit(rid).cast("bigint")), "united")
+        done = merge.merged(unions, now, mode).withColumns({"rid": F.lit(rid).cast("bigint"), "level": F.lit(level)})
+        done = scratch.materialize(done, "merged")
+        united.append(unions)
+        merged.append(done)
+        before, carried = carried, scratch.materialize(carried.join(done, "wid", "left_anti").unionByName(done.select("wid", "geom")), "carried")
+        scratch.discard(before)
+    return _folded(water, area, merged, united)
+
+
+def _folded(water: DataFrame, area: DataFrame, merged: list[DataFrame], united: list[DataFrame]) -> Folded:
+    spark = water.sparkSession
     counted = area.groupBy(F.col("rid").cast("bigint").alias("ord")).agg(F.count("*").alias("polygons"))
     if not merged:
         none = spark.createDataFrame([], "ord bigint, wid bigint, piece int, geom binary")
