@@ -211,8 +211,7 @@ def _grouped(stretches: DataFrame, window: int, prefix: int, bucket: int) -> tup
 
 
 def trees(stretches: DataFrame, window: int = WINDOW, prefix: int = PREFIX, bucket: int = BUCKET) -> DataFrame:
-    """``h1, h2, bits`` of ``stretches`` (h1, h2, more, least, words): bit i: the window at i also starts in a document smaller than ``least``."""
-    stretches = materialize(stretches, "repeat-words")
+    """``h1, h2, bits`` of ``stretches`` (h1, h2, more, least, words), which are read several times: bit i: the window at i also starts in a document smaller than ``least``."""
     fit, frequent = _grouped(stretches, window, prefix, bucket)
     n = F.col("more") + 1
     size = stretches.agg(F.sum(n * (n + window - 1) - n * (n - 1) / 2).cast("long")).first()[0] or 0
@@ -224,9 +223,7 @@ def trees(stretches: DataFrame, window: int = WINDOW, prefix: int = PREFIX, buck
         whole = frequent.withColumn("node", F.substring_index("words", " ", window))
         node = materialize(whole.groupBy("node").agg(F.min("least").alias("smallest")), "repeat-nodes")
         below = below.unionByName(whole.join(node, "node").filter("smallest < least").select("h1", "h2", "at"))
-    out = materialize(below.groupBy("h1", "h2").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits")), "repeat-bits")
-    discard(stretches)
-    return out
+    return materialize(below.groupBy("h1", "h2").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits")), "repeat-bits")
 
 
 def marks(docs: DataFrame, window: int = WINDOW, run: int = RUN, prefix: int = PREFIX, bucket: int = BUCKET) -> DataFrame:
@@ -252,10 +249,14 @@ def marks(docs: DataFrame, window: int = WINDOW, run: int = RUN, prefix: int = P
     asked = distinct.drop("h1", "h2").join(open_, "run").groupBy("doc", "k").agg(F.collect_list(F.struct("run", "first", "more")).alias("found"))
     asked = materialize(asked.join(copies, ["doc", "k"], "left").select("doc", "k", F.coalesce("copies", F.lit(1)).alias("copies"), "found"), "repeat-asked")
     release(spark)
-    bits = trees(_stretches(once_each(keyed, asked), window, True).withColumnRenamed("doc", "least"), window, prefix, bucket)
+    # Written, and what made it deleted, before its suffixes are dealt out: texts and suffixes are not on disk at once.
+    words = materialize(_stretches(once_each(keyed, asked), window, True).withColumnRenamed("doc", "least").drop("doc", "k", "run", "first"), "repeat-words")
     for table in (asked, copies, open_):
         discard(table)
     release(spark)
+    bits = trees(words, window, prefix, bucket)
+    discard(words)
+    release(spark)
     # Written, so that a stretch with many copies meets it from plain exchanges, which Spark can split.
     of = materialize(distinct.select("h1", "h2", F.col("doc").alias("least")).join(bits, ["h1", "h2"], "left"), "repeat-of")
     every = F.expr("shiftleft(1L, more + 1) - 1")
