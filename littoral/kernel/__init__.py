@@ -35,6 +35,8 @@ FUNCTIONS = {
     "st_difference": ("Difference", "array<binary>"),
     "st_union_all": ("UnionAll", "array<binary>"),
     "st_merge": ("Merge", "array<binary>"),
+    "st_evolve": ("Evolve", "struct<taken: array<boolean>, steps: array<struct<rid: bigint, united: array<binary>, geom: binary, extras: array<binary>>>>"),
+    "st_first_hosts": ("FirstHosts", "array<array<bigint>>"),
     "st_simplify": ("Simplify", "binary"),
     "st_asgeojson": ("AsGeoJson", "string"),
 }
@@ -49,7 +51,7 @@ def build(jar: Path = JAR) -> None:
 
 def register(spark: SparkSession) -> None:
     """Idempotent: a session that has the functions is left alone."""
-    if spark.catalog.functionExists("st_is_box"):
+    if spark.catalog.functionExists("st_first_hosts"):
         return
     if not JAR.exists():
         build()

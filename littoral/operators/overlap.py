@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .. import scratch
 from ..functions.geo import ENVELOPE, cap_box, clipped_pieces, covered_by
-from ..kernel import st
-from .spatial_join import Extent, cell_size, expected, extent, grid_join
+from ..kernel import register, st
+from .spatial_join import Extent, cell_size, expected, extent, grid_join, grid_lists
 
 #: Bytes of geometry of one host that meet in one row.
 CHUNK = 32 << 20
@@ -105,6 +105,36 @@ def first_taken(water: DataFrame, area: DataFrame, cell: float | None, taken: Ca
     return first_match(found)
 
 
+def first_hosts(water: DataFrame, area: DataFrame, cell: float, most: int, extents: tuple[Extent, Extent] | None = None) -> DataFrame | None:
+    """``aid, wids``: the first candidates of each polygon, ``most`` of them at most, without rectangles (``box``) that cover its envelope; polygons without any are left out.
+
+    Cell by cell the hosts are gone through by their ids upwards until a polygon has
+    enough. None where a cell has so many rows that they should not meet in one row.
+    """
+    register(water.sparkSession)
+    corners = lambda p="": [F.col(c).cast("double").alias(f"{p}{c}") for c in ENVELOPE]
+    polygons, hosts = area.select("aid", *corners()).dropna(), water.select("wid", *corners("w_"), "box").dropna()
+    cells = grid_lists(polygons, hosts, cell, FEW, ENVELOPE, HOST_ENV, extents)
+    if cells is None:
+        return None
+    met = cells.select(F.col("left.aid").alias("aid"), st("st_first_hosts", "left", "right", F.lit(most)).alias("wids"))
+    each = met.select(F.explode(F.arrays_zip("aid", "wids")).alias("x")).select("x.aid", "x.wids").filter(F.size("wids") > 0)
+    if most == 1:
+        return each.groupBy("aid").agg(F.min(F.col("wids")[0]).alias("wid")).select("aid", F.array("wid").alias("wids"))
+    return each.groupBy("aid").agg(F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("wids")))), 1, most).alias("wids"))
+
+
+def first_boxes(water: DataFrame, area: DataFrame, cell: float | None = None, extents: tuple[Extent, Extent] | None = None) -> DataFrame:
+    """``aid, wid``: the first host that takes each polygon, where all are rectangles."""
+    cell = cell or max(cell_size(water), cell_size(area))
+    extents = extents or (extent(area), extent(water))
+    if expected(*extents) > FEW:
+        found = first_hosts(water.withColumn("box", F.lit(True)), area, cell, 1, extents)
+        if found is not None:
+            return scratch.materialize(found.select("aid", F.col("wids")[0].alias("wid")), "first")
+    return first_taken(water, area, cell, lambda pairs: pairs.filter(box_takes()), (), extents)
+
+
 def boxed(df: DataFrame) -> DataFrame:
     """``df`` with ``box``: its geometry is its envelope itself, so that comparisons are the exact predicates among such rows."""
     return df.withColumn("box", F.coalesce(st("st_is_box", "geom", *(F.col(c).cast("double") for c in ENVELOPE)), F.lit(False)))
@@ -128,7 +158,7 @@ def first_exact(water: DataFrame, area: DataFrame, cell: float | None = None, ex
     """
     cell = cell or max(cell_size(water), cell_size(area))
     of_area, of_water = extents or (extent(area), extent(water))
-    sure = first_taken(water.filter("box"), area.filter("box"), cell, lambda pairs: pairs.filter(box_takes()), (), (of_area, of_water))
+    sure = first_boxes(water.filter("box"), area.filter("box"), cell, (of_area, of_water))
     sure = scratch.materialize(sure, "sure")
     out = sure
     for hosts, polygons in ((water.filter("not box"), area), (water.filter("box"), area.filter("not box"))):

@@ -80,10 +80,15 @@ def _work(a: Extent, b: Extent, cell: float) -> tuple[float, float]:
     return copies[0] * copies[1] / cells, sum(copies)
 
 
-def _finer(a: Extent, b: Extent, cell: float) -> float:
-    """``cell`` or a part of it, by the work; nearly all rows stay on the first level."""
+def _sizes(a: Extent, b: Extent, cell: float) -> list[float]:
+    """``cell`` and parts of it at which nearly all rows stay on the first level."""
     least = min(cell, max(a.side, b.side) / SPAN)
-    sizes = [cell] + [cell / k for k in (1.5, 2, 3, 4, 6, 8, 12, 16, 32, 64) if cell / k >= least]
+    return [cell] + [cell / k for k in (1.5, 2, 3, 4, 6, 8, 12, 16, 32, 64) if cell / k >= least]
+
+
+def _finer(a: Extent, b: Extent, cell: float) -> float:
+    """``cell`` or a part of it, by the work."""
+    sizes = _sizes(a, b, cell)
     cost = lambda c: (lambda tests, copies: tests + COPY * copies)(*_work(a, b, c))
     return min(sizes, key=cost)
 
@@ -118,6 +123,32 @@ def grid_join(left: DataFrame, right: DataFrame, cell: float, left_env: Sequence
     return spread_a.join(spread_b, on).drop("_la", "_lb", *(f"{side}_{c}" for side in ("_a", "_b") for c in ("at", "cx", "cy", "lx", "ly", "other")))
 
 
+def grid_lists(left: DataFrame, right: DataFrame, cell: float, most: int, left_env: Sequence[str] = ENVELOPE, right_env: Sequence[str] = ENVELOPE, extents: tuple[Extent, Extent] | None = None) -> DataFrame | None:
+    """``left, right``: for each cell that rows of both sides touch, all columns of these rows as arrays of structs; None where a cell would have over ``most`` pairs.
+
+    Each two envelopes that meet are together in a cell at least, and may be in several.
+    """
+    of_a, of_b = extents or (extent(left, left_env), extent(right, right_env))
+    w, h = _span(of_a, of_b)
+    sizes = _sizes(of_a, of_b, cell)
+    cell = next((c for c in sizes if _work(of_a, of_b, c)[0] / (max(1.0, w / c) * max(1.0, h / c)) <= most / 8), sizes[-1])
+    a = left.withColumn("_la", _level(left_env, cell))
+    b = right.withColumn("_lb", _level(right_env, cell))
+    spread_a = _spread(a, left_env, cell, "_la", _levels(b, "_lb", of_b, cell))
+    spread_b = _spread(b, right_env, cell, "_lb", _levels(a, "_la", of_a, cell))
+    keys = ["_at", "_cx", "_cy", "_of_a", "_of_b"]
+    of_left = spread_a.select(*(F.col(c).alias(k) for c, k in zip(("_a_at", "_a_cx", "_a_cy", "_la", "_a_other"), keys)), F.struct(*left.columns).alias("left"))
+    of_right = spread_b.select(*(F.col(c).alias(k) for c, k in zip(("_b_at", "_b_cx", "_b_cy", "_b_other", "_lb"), keys)), F.struct(*right.columns).alias("right"))
+    both = of_left.unionByName(of_right, allowMissingColumns=True)
+    counts = both.groupBy(*keys).agg(F.count("left").alias("n"), F.count("right").alias("m"))
+    if (counts.agg(F.max(F.when((F.col("n") > 0) & (F.col("m") > 0), F.greatest(F.col("n") * F.col("m"), F.greatest("n", "m") * 100)))).first()[0] or 0) > most:
+        return None
+    spark = left.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lists = both.repartition(tasks, *keys).groupBy(*keys).agg(F.collect_list("left").alias("left"), F.collect_list("right").alias("right"))
+    return lists.filter((F.size("left") > 0) & (F.size("right") > 0)).select("left", "right")
+
+
 def _levels(df: DataFrame, level: str, of: Extent, cell: float) -> list[int]:
     """Which levels there are: a handful of numbers, bounded by the range of doubles."""
     if of.n and of.largest <= cell * SPAN:

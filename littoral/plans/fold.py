@@ -4,6 +4,14 @@ Candidates are found once, from the hosts' original envelopes; the exact
 predicates of each region see the hosts as the regions before left them. What a
 region adds beside a host is no host for later ones.
 
+A polygon is offered to its candidates by their ids upwards and goes on where it is
+refused, so what a host is given depends on hosts of smaller ids alone. All hosts
+go through their regions at once, each in one row (``st_evolve``), with what is
+offered to it so far; then hosts whose offers changed go through them again, until
+no polygon moves. Rounds are as many as the longest way of a polygon that another
+one waits for. Where a cap clips what is given, where offers of a host would
+overfill a row, and where a cell has too many rows, regions are followed instead:
+
 Only regions that meet at a host have to wait for each other. Each polygon gets a
 level: one more than the last level at which any of its candidate hosts takes
 something from an earlier region; a host takes what a region gives it once all of
@@ -28,10 +36,15 @@ from pyspark.sql import functions as F
 
 from .. import scratch
 from ..functions.geo import ENVELOPE
+from ..kernel import register, st
 from ..operators import merge, overlap
 from ..operators.spatial_join import Extent, expected, extent
 
 
+#: So many candidates of each polygon are looked up at first; all of them where it is refused by these.
+FIRST = 16
+
+
 @dataclass
 class Folded:
     """``water``: wid, geom of all hosts; ``extras``, ``patches``: ord, wid, piece, geom; ``metrics``: a row for each region."""
@@ -71,6 +84,10 @@ def fold(water: DataFrame, area: DataFrame, km: float | None = None, mode: str =
     km = overlap.check_km(km)
     of_area, of_water = extent(area), extent(water)
     regions = area.agg(F.count_distinct("rid")).first()[0]
+    if regions > 1 and km is None:
+        done = _by_host(water, area, mode, cell, (of_area, of_water))
+        if done is not None:
+            return done
     if regions == 1 or 0 < regions * of_water.n <= 2 * expected(of_area, of_water):
         return _by_region(water, area, km, mode, cell, (of_area, of_water))
     found = scratch.materialize(overlap.candidates(water, area, cell), "candidates")
@@ -111,6 +128,64 @@ def fold(water: DataFrame, area: DataFrame, km: float | None = None, mode: str =
     return _folded(water, area, merged, united)
 
 
+def _by_host(water: DataFrame, area: DataFrame, mode: str, cell: float | None, extents: tuple[Extent, Extent]) -> Folded | None:
+    """The fold with a round for each move of polygons to their next hosts; None where a row would hold too much."""
+    if mode not in merge.MODES:
+        raise ValueError(f"mode is one of {merge.MODES}")
+    register(water.sparkSession)
+    cell = cell or max(overlap.cell_size(water), overlap.cell_size(area))
+    tasks = water.sparkSession.sparkContext.defaultParallelism
+    hosts = scratch.materialize(overlap.boxed(water.select("wid", *ENVELOPE, "geom")).repartition(tasks, "wid"), "hosts")
+    areas = scratch.materialize(area.filter(F.col("rid").isNotNull()).select("aid", F.col("rid").cast("bigint").alias("rid"), *ENVELOPE, "geom").repartition(tasks, "aid"), "areas")
+    found = overlap.first_hosts(hosts, areas, cell, FIRST, extents)
+    if found is None:
+        return None
+    wids, asked, before = F.col("wids"), F.col("asked"), F.col("before")
+    start = found.join(areas.select("aid", "rid"), "aid").select("aid", "rid", "wids", (F.size("wids") < FIRST).alias("all"), F.lit(1).alias("asked"), F.lit(0).alias("before"))
+    now, results = scratch.materialize(start, "offers"), []
+    if _heaviest(now, areas) > overlap.CHUNK:
+        return None
+    while True:
+        changed = now.filter(asked != before).select(F.explode(F.slice(wids, F.least(asked, before) + 1, F.abs(asked - before))).alias("wid")).distinct()
+        offers = now.select("aid", "rid", F.explode(F.slice(wids, F.lit(1), asked)).alias("wid")).join(changed, "wid", "left_semi")
+        rows = offers.join(areas.select("aid", "geom"), "aid").groupBy("wid").agg(F.sort_array(F.collect_list(F.struct("rid", "aid", "geom"))).alias("offered"))
+        each = hosts.select("wid", "geom").join(changed, "wid", "left_semi").join(rows, "wid", "left")
+        each = each.select("wid", F.col("offered.aid").alias("aids"), st("st_evolve", "geom", "offered", F.lit(mode == "compat")).alias("done"))
+        done = scratch.materialize(each.select("wid", "aids", "done.taken", "done.steps", F.lit(len(results)).alias("round")), "evolved")
+        results.append(done)
+        told = done.select("wid", F.explode(F.arrays_zip("aids", "taken")).alias("x")).select(F.col("x.aids").alias("aid"), "wid", F.col("x.taken").alias("taken"))
+        place = F.array_position("wids", F.col("wid"))
+        moves = told.join(now.select("aid", "wids", "asked"), "aid").groupBy("aid").agg(F.min(F.when(F.col("taken"), place)).alias("own"), F.max(~F.col("taken") & (place == asked)).alias("refused"))
+        goes = F.coalesce("own", F.when(F.col("refused"), asked + 1), asked).cast("int")
+        following = now.drop("before").join(moves, "aid", "left").select("aid", "rid", "wids", "all", goes.alias("asked"), asked.alias("before"))
+        following = scratch.materialize(following, "offers")
+        short = (asked > F.size("wids")) & ~F.col("all")
+        moved, more = following.agg(F.count_if(asked != before), F.count_if(short)).first()
+        scratch.discard(now)
+        now = following
+        if more:
+            left = areas.join(now.filter(short).select("aid"), "aid", "left_semi")
+            pairs = overlap.candidates(hosts.filter("box"), left, cell).filter(overlap.box_takes()).unionByName(overlap.candidates(hosts.filter("not box"), left, cell))
+            whole = pairs.groupBy("aid").agg(F.sort_array(F.collect_list("wid")).alias("every"))
+            now = scratch.materialize(following.join(whole, "aid", "left").select("aid", "rid", F.coalesce("every", "wids").alias("wids"), (F.col("all") | F.col("every").isNotNull()).alias("all"), "asked", "before"), "offers")
+            scratch.discard(following)
+            if _heaviest(now, areas) > overlap.CHUNK:
+                return None
+        if not moved:
+            break
+    every = _union(results)
+    latest = every.join(every.groupBy("wid").agg(F.max("round").alias("round")), ["wid", "round"], "left_semi")
+    steps = latest.select("wid", F.posexplode("steps").alias("level", "x")).select("wid", "level", "x.rid", "x.united", "x.geom", "x.extras")
+    steps = scratch.materialize(steps, "steps")
+    return _folded(water, area, [steps.drop("united")], [steps.select("wid", "rid", "united")])
+
+
+def _heaviest(offers: DataFrame, areas: DataFrame) -> int:
+    """The most bytes of geometry that any host could be offered."""
+    of_host = offers.select("aid", F.explode("wids").alias("wid")).join(areas.select("aid", F.length("geom").alias("size")), "aid").groupBy("wid").agg(F.sum("size").alias("size"))
+    return of_host.agg(F.max("size")).first()[0] or 0
+
+
 def _by_region(water: DataFrame, area: DataFrame, km: float | None, mode: str, cell: float | None, extents: tuple[Extent, Extent]) -> Folded:
     """The fold with a round for each region."""
     spark = water.sparkSession
