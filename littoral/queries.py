@@ -69,7 +69,7 @@ def exact_pairs(spark, d):
 
 
 def _matches(spark, d):
-    return overlap.first_taken(fx.water(spark, d), fx.area(spark, d), CELL, lambda pairs: pairs.filter(overlap.box_takes()))
+    return overlap.first_boxes(fx.water(spark, d), fx.area(spark, d), CELL)
 
 
 def first_match(spark, d):
