@@ -26,6 +26,8 @@ from ..functions.geo import ENVELOPE, meets
 SPAN, STEP = 4, 8
 #: A copy of a row costs as much as so many tests; a join of so many tests is dealt to tasks of so many each.
 COPY, MANY, TASK = 20, 5_000_000, 50_000_000
+#: Rows in lists are dealt to tasks of so many each.
+LISTED = 200_000
 
 
 def _level(env: Sequence[str], cell: float) -> Column:
@@ -143,8 +145,8 @@ def grid_lists(left: DataFrame, right: DataFrame, cell: float, most: int, left_e
     counts = both.groupBy(*keys).agg(F.count("left").alias("n"), F.count("right").alias("m"))
     if (counts.agg(F.max(F.when((F.col("n") > 0) & (F.col("m") > 0), F.greatest(F.col("n") * F.col("m"), F.greatest("n", "m") * 100)))).first()[0] or 0) > most:
         return None
-    spark = left.sparkSession
-    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # By the work and not by the setting: each task pays a fifth of a second for the functions called on the lists.
+    tasks = max(2 * left.sparkSession.sparkContext.defaultParallelism, min(20_000, int(_work(of_a, of_b, cell)[1] / LISTED)))
     lists = both.repartition(tasks, *keys).groupBy(*keys).agg(F.collect_list("left").alias("left"), F.collect_list("right").alias("right"))
     return lists.filter((F.size("left") > 0) & (F.size("right") > 0)).select("left", "right")
 
