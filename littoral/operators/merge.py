@@ -7,7 +7,7 @@ the polygon that it lies in itself; what else comes out is extra rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import scratch
@@ -17,9 +17,14 @@ from ..kernel import st
 MODES = ("contract", "compat")
 
 
+def once(column: Column) -> Column:
+    """``column``, computed once a row; filters on it would otherwise compute it again."""
+    return F.explode(F.array(column))
+
+
 def unions(grouped: DataFrame) -> DataFrame:
     """``wid, united``: the polygons of the union of each group, largest first; empty unions are left out."""
-    return grouped.select("wid", st("st_union_all", "pieces").alias("united")).filter(F.size("united") > 0)
+    return grouped.select("wid", once(st("st_union_all", "pieces")).alias("united")).filter(F.size("united") > 0)
 
 
 def patches(united: DataFrame) -> DataFrame:
@@ -32,7 +37,7 @@ def merged(united: DataFrame, water: DataFrame, mode: str = "contract") -> DataF
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
     met = united.join(water.select("wid", F.col("geom").alias("host")), "wid")
-    parts = met.select("wid", st("st_merge", "host", "united", F.lit(mode == "compat")).alias("parts"))
+    parts = met.select("wid", once(st("st_merge", "host", "united", F.lit(mode == "compat"))).alias("parts"))
     return parts.select("wid", F.element_at("parts", 1).alias("geom"), F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0))).alias("extras"))
 
 
