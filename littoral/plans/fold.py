@@ -43,6 +43,8 @@ from ..operators.spatial_join import Extent, expected, extent
 
 #: So many candidates of each polygon are looked up at first; all of them where it is refused by these.
 FIRST = 16
+#: Offers are dealt to tasks of about so many polygons each.
+DEALT = 50_000
 
 
 @dataclass
@@ -141,6 +143,7 @@ def _by_host(water: DataFrame, area: DataFrame, mode: str, cell: float | None, e
     if found is None:
         return None
     wids, asked, before = F.col("wids"), F.col("asked"), F.col("before")
+    dealt = max(2 * tasks, min(20_000, extents[0].n // DEALT))  # few bytes may be much work: not by their size
     start = found.join(areas.select("aid", "rid"), "aid").select("aid", "rid", "wids", (F.size("wids") < FIRST).alias("all"), F.lit(1).alias("asked"), F.lit(0).alias("before"))
     now, results = scratch.materialize(start, "offers"), []
     if _heaviest(now, areas) > overlap.CHUNK:
@@ -149,7 +152,7 @@ def _by_host(water: DataFrame, area: DataFrame, mode: str, cell: float | None, e
         changed = now.filter(asked != before).select(F.explode(F.slice(wids, F.least(asked, before) + 1, F.abs(asked - before))).alias("wid")).distinct()
         offers = now.select("aid", "rid", F.explode(F.slice(wids, F.lit(1), asked)).alias("wid")).join(changed, "wid", "left_semi")
         rows = offers.join(areas.select("aid", "geom"), "aid").groupBy("wid").agg(F.sort_array(F.collect_list(F.struct("rid", "aid", "geom"))).alias("offered"))
-        each = hosts.select("wid", "geom").join(changed, "wid", "left_semi").join(rows, "wid", "left")
+        each = hosts.select("wid", "geom").join(changed, "wid", "left_semi").join(rows, "wid", "left").repartition(dealt, "wid")
         each = each.select("wid", F.col("offered.aid").alias("aids"), st("st_evolve", "geom", "offered", F.lit(mode == "compat")).alias("done"))
         done = scratch.materialize(each.select("wid", "aids", "done.taken", "done.steps", F.lit(len(results)).alias("round")), "evolved")
         results.append(done)
