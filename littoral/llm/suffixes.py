@@ -22,8 +22,8 @@ equal id and text are one key and travel once, with their number.
 
 Defined results: null and empty texts have no bytes; texts shorter than a length
 lose nothing by it; repeated rows are documents like any other and repeat each
-other; null ``doc_id``s stay null; very long texts are looked at a step at a
-time; other columns, whatever their names, are left out by ``remove`` and kept
+other; null ``doc_id``s stay null; of very long texts a window of runs is held at
+a time; other columns, whatever their names, are left out by ``remove`` and kept
 by ``clean``; an empty table gives an empty result.
 """
 
@@ -112,20 +112,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _anchors(keyed: DataFrame, length: int, gram: int) -> DataFrame:
-    def make():
-        def each(batch):
-            counts, found = [], []
-            for data in as_bytes(batch.column(2)):
-                found.append(anchors(data, length, gram))
-                counts.append(len(found[-1][0]))
-            at = pa.array(np.repeat(np.arange(len(counts)), counts))
-            h, place, first, last = (np.concatenate(x) for x in zip(*found))
-            numbers = [first, last - first, place - first]
-            return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in numbers)], names=["doc", "k", "anchor", "first", "more", "at"])
-
-        return each
-
-    return map_batches(keyed, make, "doc long, k long, anchor long, first int, more int, at int")
+    """``doc, k, anchor, first, more, at`` of each anchor: ``anchors`` of each text, by a hash of its own, in the JVM."""
+    of = F.call_function(register(keyed.sparkSession, "littoral_byte_anchors", "littoral.ByteAnchors", "array<struct<anchor: bigint, first: int, more: int, at: int>>"), F.col("text").cast("binary"), F.lit(length), F.lit(gram))
+    return keyed.select("doc", "k", F.inline(of))
 
 
 def _stretches(hits: DataFrame, length: int, with_bytes: bool) -> DataFrame:
@@ -289,46 +278,15 @@ def _split(distinct: DataFrame, large: DataFrame, lengths: tuple[int, ...], gram
     return union(members), union(groups), sure
 
 
-def removed(n: int, found, level: int, length: int) -> tuple[np.ndarray, int]:
-    """Which bytes go by the repeats of one length, and in how many runs."""
-    edge = np.zeros(n + 1, np.int64)
-    for m in found:
-        if m["all"] is not None:
-            runs = [[0, m["all"][level]]] if m["all"][level] else []
-        else:
-            runs = np.frombuffer(m["runs"][level] or b"", "<i4").reshape(-1, 2).tolist()
-        for lo, hi in runs:
-            edge[m["first"] + lo] += 1
-            edge[m["first"] + hi - 1 + length] -= 1
-    gone = np.cumsum(edge[:-1]) > 0
-    return gone, int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-
-
 def remove(docs: DataFrame, length: int = LENGTH, short: int = SHORT, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
-    """Per row ``doc_id, n_bytes, n_removed, n_spans, n_repeated, kept``: ``kept`` are the bytes that repeats of ``length`` leave, ``n_repeated`` counts those under repeats of ``short``."""
+    """Per row ``doc_id, n_bytes, n_removed, n_spans, n_repeated, kept``: ``kept`` are the bytes that repeats of ``length`` leave, ``n_repeated`` counts those under repeats of ``short``. Texts are cut in the JVM."""
     found = marks(docs, (length, short), gram, shard)
     release(docs.sparkSession)
     met = _keyed(docs).join(found, ["doc", "k"], "left").select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "text", "marks")
 
-    def make():
-        def each(batch):
-            n, gone, spans, under, kept = [], [], [], [], []
-            for data, m in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist()):
-                out, count, repeated = data, 0, 0
-                if m:
-                    mask, count = removed(len(data), m, 0, length)
-                    out = np.frombuffer(data, np.uint8)[~mask].tobytes() if count else data
-                    repeated = int(removed(len(data), m, 1, short)[0].sum())
-                n.append(len(data))
-                gone.append(len(data) - len(out))
-                spans.append(count)
-                under.append(repeated)
-                kept.append(out)
-            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (n, gone, spans, under)), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "n_repeated", "kept"])
-
-        return each
-
-    return map_batches(met, make, "doc_id long, n_bytes long, n_removed long, n_spans long, n_repeated long, kept binary")
+    returns = "struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, n_repeated: bigint, kept: binary>"
+    done = F.call_function(register(docs.sparkSession, "littoral_repeat_remove", "littoral.RepeatRemove", returns), F.col("text").cast("binary"), F.col("marks"), F.lit(length), F.lit(short))
+    return met.select("doc_id", F.inline(F.array(done)))
 
 
 def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
