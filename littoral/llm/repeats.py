@@ -36,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, as_bytes, discard, documents, map_batches, materialize, once_each, release, text_key
-from .grams import Words, gram_hashes
+from .grams import gram_hashes
+from .jvm import register
 
 WINDOW = 13
 #: Words of the runs by which stretches are found, and of the shortest prefix of a group of suffixes.
@@ -71,35 +72,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return documents(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), text_key("text").alias("k"), "text")
 
 
-def _runs(keyed: DataFrame, window: int, run: int, at_once: int = 300_000) -> DataFrame:
-    """``doc, k, run, first, more`` of each stretch; so many words are looked at in one go (but no text is parted)."""
-
-    def make():
-        hasher = Words()
-
-        def some(batch, lo, words, sizes):
-            sizes = np.array(sizes, np.int64)
-            text, h, _, first, last = anchors(hasher.hashes(words), sizes, window, run)
-            rows = pa.array(text + lo)
-            before = (np.cumsum(sizes) - sizes)[text]
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(h.view(np.int64)), pa.array((first - before).astype(np.int32)), pa.array((last - first).astype(np.int16))], names=["doc", "k", "run", "first", "more"]
-            )
-
-        def each(batch):
-            out, words, sizes, lo = [], [], [], 0
-            for i, data in enumerate(as_bytes(batch.column(2))):
-                w = data.split()
-                words += w
-                sizes.append(len(w))
-                if len(words) >= at_once:
-                    out.append(some(batch, lo, words, sizes))
-                    words, sizes, lo = [], [], i + 1
-            return [*out, some(batch, lo, words, sizes)] if sizes else out
-
-        return each
-
-    return map_batches(keyed, make, "doc long, k long, run long, first int, more short")
+def _runs(keyed: DataFrame, window: int, run: int) -> DataFrame:
+    """``doc, k, run, first, more`` of each stretch: ``anchors`` of each text, by a hash of its own, in the JVM."""
+    of = F.call_function(register(keyed.sparkSession, "littoral_word_runs", "littoral.WordRuns", "array<struct<run: bigint, first: int, more: smallint>>"), F.col("text").cast("binary"), F.lit(window), F.lit(run))
+    return keyed.select("doc", "k", F.inline(of))
 
 
 def _stretches(texts: DataFrame, window: int, with_words: bool) -> DataFrame:
