@@ -58,9 +58,9 @@ class Folded:
 
     def output(self) -> DataFrame:
         """``fid, geom``: hosts by their id, then extras by region, host and piece, numbered on."""
-        hosts = merge.append_fids(self.water.select("wid", "geom"), ["wid"], 0).select("fid", "geom")
-        more = merge.append_fids(self.extras, ["ord", "wid", "piece"], self.water.count()).select("fid", "geom")
-        return hosts.unionByName(more)
+        first = self.water.select(F.lit(0).alias("beside"), F.lit(0).cast("bigint").alias("ord"), "wid", F.lit(0).alias("piece"), "geom")
+        more = self.extras.select(F.lit(1).alias("beside"), F.col("ord").cast("bigint").alias("ord"), "wid", "piece", "geom")
+        return merge.append_fids(first.unionByName(more), ["beside", "ord", "wid", "piece"], 0).select("fid", "geom")
 
 
 def levels(pairs: DataFrame) -> DataFrame:
